@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketloom.oracle.base import statement
 from marketloom.oracle.dashboards import DASHBOARD_SQL, EXTRA_CTES
+from marketloom.oracle.declared import DECLARED_SQL
 from marketloom.oracle.models import CTES, shown
 from marketloom.oracle.operators import OPERATOR_SQL
 from marketloom.plans.warehouse import MODELS
@@ -14,4 +15,5 @@ def all_sql() -> dict[str, str]:
     finals = {name: shown(name) for name in MODELS}
     finals |= DASHBOARD_SQL
     finals |= OPERATOR_SQL
+    finals |= DECLARED_SQL
     return {name: statement(sql, ctes) for name, sql in finals.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketloom.plans.customer_dashboard import CUSTOMER_QUERIES
+from marketloom.plans.declared import DECLARED_QUERIES
 from marketloom.plans.operator_queries import OPERATOR_QUERIES
 from marketloom.plans.product_dashboard import PRODUCT_QUERIES
 from marketloom.plans.segments import SEGMENT_QUERIES
@@ -46,7 +47,7 @@ def registered() -> dict:
     out = {name: _model(name) for name in MODELS}
     for group in (
         CUSTOMER_QUERIES, PRODUCT_QUERIES, SELLER_QUERIES, SEGMENT_QUERIES,
-        OPERATOR_QUERIES,
+        OPERATOR_QUERIES, DECLARED_QUERIES,
     ):
         for name, f in group.items():
             options = {"month": REPORT_MONTH} if name.startswith("q_nov_") else {}
