@@ -7,6 +7,7 @@ from marketloom.oracle.dashboards import DASHBOARD_SQL, EXTRA_CTES
 from marketloom.oracle.declared import DECLARED_SQL
 from marketloom.oracle.models import CTES, shown
 from marketloom.oracle.operators import OPERATOR_SQL
+from marketloom.oracle.quality import QUALITY_SQL
 from marketloom.plans.warehouse import MODELS
 
 
@@ -16,4 +17,5 @@ def all_sql() -> dict[str, str]:
     finals |= DASHBOARD_SQL
     finals |= OPERATOR_SQL
     finals |= DECLARED_SQL
+    finals |= QUALITY_SQL
     return {name: statement(sql, ctes) for name, sql in finals.items()}

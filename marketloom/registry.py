@@ -6,12 +6,19 @@ from marketloom.plans.customer_dashboard import CUSTOMER_QUERIES
 from marketloom.plans.declared import DECLARED_QUERIES
 from marketloom.plans.operator_queries import OPERATOR_QUERIES
 from marketloom.plans.product_dashboard import PRODUCT_QUERIES
+from marketloom.plans.quality import (
+    dq_order_dates,
+    dq_revenue_integrity,
+    evaluate,
+)
+from marketloom.plans.rules import all_rules
 from marketloom.plans.segments import SEGMENT_QUERIES
 from marketloom.plans.seller_dashboard import SELLER_QUERIES
 from marketloom.plans.warehouse import MODELS, TABLES, Warehouse
 from marketloom.present import present
 from marketloom.session import configure
 from marketloom.sources.fixture import FixtureSources
+from marketloom.sources.schemas import SOURCES
 
 AS_OF = "2002-01-01 00:00:00"
 REPORT_MONTH = "1995-03-01"
@@ -43,6 +50,41 @@ def _query(f, **options):
     return run
 
 
+class _Checked:
+    """Models and documented columns under one name space, for the rules."""
+
+    def __init__(self, m):
+        self.m = m
+
+    def __getitem__(self, name):
+        if name in DECLARED_QUERIES:
+            return DECLARED_QUERIES[name](self.m, self.m.as_of)
+        return self.m[name]
+
+
+NOW_SQL = f"timestamp_ntz'{AS_OF}'"
+
+
+def _quality(select):
+    def run(spark, sf_dir):
+        rules = [r for r in all_rules() if select(r)]
+        return present(evaluate(_Checked(warehouse(spark, sf_dir)), rules, NOW_SQL))
+
+    return run
+
+
+def _quality_queries() -> dict:
+    kinds = dict.fromkeys(r.kind for r in all_rules())
+    out = {f"dq_{k}": _quality(lambda r, k=k: r.kind == k) for k in kinds}
+    out["source_decl"] = _quality(lambda r: r.model in SOURCES)
+    out["dq_order_dates"] = _query(dq_order_dates)
+    out["dq_revenue_integrity"] = _query(dq_revenue_integrity)
+    out["dq_revenue_integrity_with_freight"] = _query(
+        dq_revenue_integrity, with_freight=True
+    )
+    return out
+
+
 def registered() -> dict:
     out = {name: _model(name) for name in MODELS}
     for group in (
@@ -52,4 +94,5 @@ def registered() -> dict:
         for name, f in group.items():
             options = {"month": REPORT_MONTH} if name.startswith("q_nov_") else {}
             out[name] = _query(f, **options)
+    out |= _quality_queries()
     return out
