@@ -8,6 +8,7 @@ from marketloom.oracle.declared import DECLARED_SQL
 from marketloom.oracle.models import CTES, shown
 from marketloom.oracle.operators import OPERATOR_SQL
 from marketloom.oracle.quality import QUALITY_SQL
+from marketloom.oracle.sources import SOURCE_SQL
 from marketloom.plans.warehouse import MODELS
 
 
@@ -18,4 +19,5 @@ def all_sql() -> dict[str, str]:
     finals |= OPERATOR_SQL
     finals |= DECLARED_SQL
     finals |= QUALITY_SQL
+    finals |= SOURCE_SQL
     return {name: statement(sql, ctes) for name, sql in finals.items()}

@@ -19,6 +19,7 @@ from marketloom.present import present
 from marketloom.session import configure
 from marketloom.sources.fixture import FixtureSources
 from marketloom.sources.schemas import SOURCES
+from marketloom.streaming.runs import RUNS
 
 AS_OF = "2002-01-01 00:00:00"
 REPORT_MONTH = "1995-03-01"
@@ -62,6 +63,10 @@ class _Checked:
         return self.m[name]
 
 
+def _run(f):
+    return lambda spark, sf_dir: present(f(spark, warehouse(spark, sf_dir), sf_dir))
+
+
 NOW_SQL = f"timestamp_ntz'{AS_OF}'"
 
 
@@ -95,4 +100,5 @@ def registered() -> dict:
             options = {"month": REPORT_MONTH} if name.startswith("q_nov_") else {}
             out[name] = _query(f, **options)
     out |= _quality_queries()
+    out |= {name: _run(f) for name, f in RUNS.items()}
     return out
