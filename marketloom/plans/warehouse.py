@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from graphlib import TopologicalSorter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,8 +102,10 @@ class Warehouse:
     read back afterwards, like tables of a daily refresh; with ``tables=()``
     every model is a lazy composition of the ones below it."""
 
-    def __init__(self, spark: SparkSession, sources, as_of=None, tables=TABLES):
-        self.spark, self.sources = spark, sources
+    def __init__(
+        self, spark: SparkSession, sources, as_of=None, tables=TABLES, save=write_scratch
+    ):
+        self.spark, self.sources, self.save = spark, sources, save
         self.as_of = as_timestamp(as_of)
         self.tables = set(tables)
         self._built: dict[str, DataFrame] = {}
@@ -119,7 +124,24 @@ class Warehouse:
             df = MODELS[name](self, self.as_of)
         else:
             raise KeyError(name)
-        return write_scratch(df, name) if name in self.tables else df
+        return self.save(df, name) if name in self.tables else df
+
+    def build_all(self, threads: int = 4) -> None:
+        """Build every table; models whose inputs are ready run side by side,
+        so that the tail of one leaves no executor idle."""
+        graph = TopologicalSorter(
+            {name: [d for d in deps if d in MODELS] for name, deps in DEPENDS.items()}
+        )
+        graph.prepare()
+        with ThreadPoolExecutor(threads) as pool:
+            running: dict = {}
+            while graph.is_active():
+                for name in graph.get_ready():
+                    running[pool.submit(self.__getitem__, name)] = name
+                done, _ = wait(running, return_when=FIRST_COMPLETED)
+                for job in done:
+                    job.result()
+                    graph.done(running.pop(job))
 
     def put(self, name: str, df: DataFrame) -> None:
         """Use ``df`` for ``name`` instead of building it."""

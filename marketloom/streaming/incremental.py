@@ -9,6 +9,7 @@ late orders and status updates count whenever they come."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ KEYS = {
     "mart_product_categories": "category_name",
 }
 
+SAME_AS = {"mart_orders": "int_orders_with_items", "mart_products": "int_product_performance"}
+
 
 class IncrementalModels:
     """Nine keyed tables under ``root``, kept up to date batch by batch.
@@ -44,13 +47,17 @@ class IncrementalModels:
         self.spark, self.sources, self.as_of = spark, sources, as_of
         table = lambda name, key: KeyedTable(spark, f"{root}/{name}", key, buckets)
         self.orders = table("orders", "order_id")
-        self.tables = {name: table(name, key) for name, key in KEYS.items()}
+        self.tables = {
+            name: table(name, key) for name, key in KEYS.items() if name not in SAME_AS
+        }
+        # pass-through marts are the same rows: no second copy is kept
+        self.tables |= {name: self.tables[of] for name, of in SAME_AS.items()}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def _models(self, **given: DataFrame) -> Warehouse:
-        w = Warehouse(self.spark, self.sources, self.as_of, tables=())
+    def _models(self, tables=(), **given: DataFrame) -> Warehouse:
+        w = Warehouse(self.spark, self.sources, self.as_of, tables=tables)
         for name, df in given.items():
             w.put(name, df)
         return w
@@ -96,55 +103,69 @@ class IncrementalModels:
             stg_order_payments=payments.join(ids, "order_id", "left_semi"),
             stg_order_reviews=reviews.join(ids, "order_id", "left_semi"),
         )
-        rolled = self._upsert("int_orders_with_items", of_batch["int_orders_with_items"])
-        self.tables["mart_orders"].upsert(rolled, frozen=True)
+        self._upsert("int_orders_with_items", of_batch["int_orders_with_items"])
 
         history = self["int_orders_with_items"]
-        staged = stg_orders({"orders": self.orders.read()})
-        touched_items = of_batch["stg_order_items"]
-
         customers = batch.select("customer_id")
         if before is not None:
             customers = customers.union(before)
-        who = self._affected("int_customer_orders", base["stg_customers"], customers)
-        by_customer = self._models(
+        # items of the batch's orders, read again by two of the branches
+        touched = write_scratch(
+            of_batch["stg_order_items"].select("seller_id", "product_id").distinct(),
+            "touched-items",
+        )
+        # the branches are independent: let their stages share the cluster
+        with ThreadPoolExecutor(3) as pool:
+            jobs = [
+                pool.submit(self._customers, base, history, customers),
+                pool.submit(self._sellers, base, history, items, touched),
+                pool.submit(self._products, base, history, items, touched),
+            ]
+            for job in jobs:
+                job.result()
+
+    def _customers(self, base, history: DataFrame, touched: DataFrame) -> None:
+        who = self._affected("int_customer_orders", base["stg_customers"], touched)
+        scope = self._models(
             stg_customers=who,
             int_orders_with_items=history.join(
                 who.select("customer_id"), "customer_id", "left_semi"
             ),
         )
-        self._upsert("int_customer_orders", by_customer["int_customer_orders"])
-        self._upsert("mart_customers", by_customer["mart_customers"])
+        self._upsert("int_customer_orders", scope["int_customer_orders"])
+        self._upsert("mart_customers", scope["mart_customers"])
 
-        who = self._affected("int_seller_performance", base["stg_sellers"], touched_items)
-        by_seller = self._models(
+    def _sellers(self, base, history: DataFrame, items: DataFrame, touched: DataFrame) -> None:
+        who = self._affected("int_seller_performance", base["stg_sellers"], touched)
+        scope = self._models(
+            tables=["int_order_sellers"],
             stg_sellers=who,
-            stg_orders=staged,
+            stg_orders=stg_orders({"orders": self.orders.read()}),
             stg_order_items=items.join(who.select("seller_id"), "seller_id", "left_semi"),
             int_orders_with_items=history,
         )
-        self._upsert("int_seller_performance", by_seller["int_seller_performance"])
-        self._upsert("mart_sellers", by_seller["mart_sellers"])
+        self._upsert("int_seller_performance", scope["int_seller_performance"])
+        self._upsert("mart_sellers", scope["mart_sellers"])
 
-        who = self._affected("int_product_performance", base["stg_products"], touched_items)
-        by_product = self._models(
+    def _products(self, base, history: DataFrame, items: DataFrame, touched: DataFrame) -> None:
+        who = self._affected("int_product_performance", base["stg_products"], touched)
+        scope = self._models(
             stg_products=who,
             stg_order_items=items.join(who.select("product_id"), "product_id", "left_semi"),
             int_orders_with_items=history,
         )
-        rows = self._upsert("int_product_performance", by_product["int_product_performance"])
-        self.tables["mart_products"].upsert(rows, frozen=True)
+        rows = self._upsert("int_product_performance", scope["int_product_performance"])
 
         categories = rows.select(F.col("category_name_english").alias("_c")).distinct()
         members = self["mart_products"].join(
             categories, F.col("category_name_english").eqNullSafe(F.col("_c")), "left_semi"
         )
-        by_category = self._models(
+        scope = self._models(
             mart_products=members,
             stg_order_items=items.join(members.select("product_id"), "product_id", "left_semi"),
             int_orders_with_items=history,
         )
-        self._upsert("mart_product_categories", by_category["mart_product_categories"])
+        self._upsert("mart_product_categories", scope["mart_product_categories"])
 
 
 def _last_version(batch: DataFrame) -> DataFrame:
