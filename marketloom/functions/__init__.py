@@ -4,6 +4,8 @@
 from marketloom.functions.arrays import unnest_zip
 from marketloom.functions.buckets import BRAZIL_STATES, ladder, ranges, state_name
 from marketloom.functions.numbers import (
+    cents,
+    from_cents,
     guarded_corr,
     mean,
     mean_over_all,
@@ -13,14 +15,17 @@ from marketloom.functions.numbers import (
     sample_stddev,
     total,
     weighted_mean,
+    weighted_mean_micros,
 )
 from marketloom.functions.text import initcap_words, month_label, pad_zip, surrogate_key
 from marketloom.functions.time import day_diff, epoch_diff, micros_between, month_start, to_seconds
 
 __all__ = [
     "BRAZIL_STATES",
+    "cents",
     "day_diff",
     "epoch_diff",
+    "from_cents",
     "guarded_corr",
     "initcap_words",
     "ladder",
@@ -41,4 +46,5 @@ __all__ = [
     "total",
     "unnest_zip",
     "weighted_mean",
+    "weighted_mean_micros",
 ]

@@ -35,16 +35,43 @@ def mean(c: Col, digits: int = 2) -> Column:
     return F.avg(_c(c).cast(f"decimal({18 + digits},{digits})")).cast("decimal(24,6)")
 
 
-def weighted_mean(weight: Col, x: Col, unit: int = 1) -> Column:
-    """Mean of ``x`` where each row stands for ``weight`` source rows, in units
-    of ``unit``; exact, ``decimal(24,6)``.  Rows with NULL ``x`` do not count."""
+def cents(c: Col) -> Column:
+    """Money as a whole number of cents, which sums as fast as an integer."""
+    return (_c(c) * F.lit(100).cast("decimal(3,0)")).cast("bigint")
+
+
+def from_cents(c: Col) -> Column:
+    """Back to money."""
+    unit = F.lit("0.01").cast("decimal(3,2)")
+    return (_c(c).cast("decimal(18,0)") * unit).cast("decimal(20,2)")
+
+
+def weighted_mean(weight: Col, x: Col) -> Column:
+    """Mean of an integer column where each row stands for ``weight`` source
+    rows; exact, ``decimal(24,6)``.  Rows with NULL ``x`` do not count.
+
+    The sums are integers (an overflow is an error, never a wrong figure)."""
     weight, x = _c(weight), _c(x)
-    num = F.sum(weight.cast("decimal(10,0)") * x.cast("decimal(18,0)"))
-    den = F.sum(F.when(x.isNotNull(), weight)).cast("decimal(18,0)") * F.lit(unit).cast(
-        "decimal(12,0)"
+    num = F.sum(weight * x).cast("decimal(22,0)")
+    den = F.sum(F.when(x.isNotNull(), weight)).cast("decimal(18,0)")
+    return F.try_divide(num, den).cast("decimal(24,6)")
+
+
+def weighted_mean_micros(weight: Col, micros: Col, unit: int) -> Column:
+    """``weighted_mean`` of microseconds in units of ``unit`` microseconds.
+    Seconds and the rest are summed apart, so that the integers stay small."""
+    weight, micros = _c(weight), _c(micros)
+    second = F.lit(1_000_000)
+    whole = F.floor(micros / second).cast("bigint")
+    num = F.sum(weight * whole).cast("decimal(20,0)") * F.lit(1_000_000).cast(
+        "decimal(7,0)"
+    ) + F.sum(weight * (micros - whole * second)).cast("decimal(20,0)")
+    den = F.sum(F.when(micros.isNotNull(), weight)).cast("decimal(16,0)") * F.lit(
+        unit
+    ).cast("decimal(12,0)")
+    return F.try_divide(num.cast("decimal(32,0)"), den.cast("decimal(32,0)")).cast(
+        "decimal(24,6)"
     )
-    q = F.try_divide(num.cast("decimal(32,0)"), den.cast("decimal(32,0)"))
-    return q.cast("decimal(24,6)")
 
 
 def mean_over_all(df, c: Col) -> Column:

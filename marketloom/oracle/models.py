@@ -232,15 +232,18 @@ FROM raw_products"""
 CTES["int_order_sellers"] = f"""
 SELECT order_id, seller_id, COUNT(*) AS item_rows, COUNT(order_item_id) AS items,
  COUNT(price_amount) AS priced, COUNT(shipping_amount) AS freighted,
- {msum("price_amount")} AS price, {msum("shipping_amount")} AS shipping,
- {msum("total_amount")} AS gmv, MIN(shipping_limit_at) AS first_limit,
+ {isum("CAST(price_amount*100 AS BIGINT)")} AS price_cents,
+ {isum("CAST(shipping_amount*100 AS BIGINT)")} AS shipping_cents,
+ {isum("CAST(total_amount*100 AS BIGINT)")} AS gmv_cents, MIN(shipping_limit_at) AS first_limit,
  MAX(shipping_limit_at) AS last_limit
 FROM stg_order_items GROUP BY order_id, seller_id"""
 CTES["int_order_products"] = f"""
 SELECT order_id, product_id, COUNT(*) AS item_rows, COUNT(price_amount) AS priced,
- COUNT(shipping_amount) AS freighted, {msum("price_amount")} AS price,
+ COUNT(shipping_amount) AS freighted,
+ {isum("CAST(price_amount*100 AS BIGINT)")} AS price_cents,
  CAST(SUM(CAST(price_amount AS DECIMAL(18,2))*price_amount) AS DECIMAL(34,4)) AS price_sq,
- {msum("shipping_amount")} AS shipping, {msum("total_amount")} AS gmv,
+ {isum("CAST(shipping_amount*100 AS BIGINT)")} AS shipping_cents,
+ {isum("CAST(total_amount*100 AS BIGINT)")} AS gmv_cents,
  MIN(price_amount) AS min_price, MAX(price_amount) AS max_price,
  {isum("order_item_id")} AS item_numbers
 FROM stg_order_items GROUP BY order_id, product_id"""
@@ -694,7 +697,7 @@ FROM category_sums s
 LEFT JOIN category_orders o ON s.category_name IS NOT DISTINCT FROM o.category_name"""
 CTES["seller_order_history"] = """
 SELECT s.seller_id, s.order_id, o.customer_id, o.purchased_at AS order_date,
- s.price AS order_value
+ CAST(s.price_cents*CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS order_value
 FROM int_order_sellers s JOIN stg_orders o ON s.order_id=o.order_id"""
 CTES["seller_category_history"] = f"""
 SELECT s.seller_id, s.product_id, s.category_revenue, p.category_name_english AS category
@@ -721,8 +724,7 @@ DECIMALS = {
     "stg_products": "volume_cm3",
     "raw_order_items": "price freight_value",
     "raw_order_payments": "payment_value",
-    "int_order_sellers": "price shipping gmv",
-    "int_order_products": "price price_sq shipping gmv min_price max_price",
+    "int_order_products": "price_sq min_price max_price",
     "int_order_items_agg": "products_amount shipping_amount total_amount",
     "int_order_financials": "payment_total credit_card_amount boleto_amount"
     " voucher_amount debit_card_amount",

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import (
+    cents,
     day_diff,
+    from_cents,
     ladder,
     mean,
     month_start,
@@ -32,9 +34,9 @@ def int_order_sellers(m, as_of=None) -> DataFrame:
         F.count("order_item_id").alias("items"),
         F.count("price_amount").alias("priced"),
         F.count("shipping_amount").alias("freighted"),
-        total("price_amount").alias("price"),
-        total("shipping_amount").alias("shipping"),
-        total("total_amount").alias("gmv"),
+        F.sum(cents("price_amount")).alias("price_cents"),
+        F.sum(cents("shipping_amount")).alias("shipping_cents"),
+        F.sum(cents("total_amount")).alias("gmv_cents"),
         F.min("shipping_limit_at").alias("first_limit"),
         F.max("shipping_limit_at").alias("last_limit"),
     )
@@ -47,10 +49,10 @@ def int_order_products(m, as_of=None) -> DataFrame:
         F.count("*").alias("item_rows"),
         F.count(price).alias("priced"),
         F.count("shipping_amount").alias("freighted"),
-        total(price).alias("price"),
+        F.sum(cents(price)).alias("price_cents"),
         F.sum(price * price).cast("decimal(34,4)").alias("price_sq"),
-        total("shipping_amount").alias("shipping"),
-        total("total_amount").alias("gmv"),
+        F.sum(cents("shipping_amount")).alias("shipping_cents"),
+        F.sum(cents("total_amount")).alias("gmv_cents"),
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
         F.sum("order_item_id").alias("item_numbers"),
@@ -61,9 +63,9 @@ def int_order_items_agg(m, as_of=None) -> DataFrame:
     """Items per order: counts, amounts, sellers, shipping limits."""
     sellers = m["int_order_sellers"].groupBy("order_id").agg(
         F.count("seller_id").alias("unique_sellers"),
-        F.sum("price").cast("decimal(20,2)").alias("products_amount"),
-        F.sum("shipping").cast("decimal(20,2)").alias("shipping_amount"),
-        F.sum("gmv").cast("decimal(20,2)").alias("total_amount"),
+        from_cents(F.sum("price_cents")).alias("products_amount"),
+        from_cents(F.sum("shipping_cents")).alias("shipping_amount"),
+        from_cents(F.sum("gmv_cents")).alias("total_amount"),
         F.min("first_limit").alias("first_shipping_limit_date"),
         F.max("last_limit").alias("last_shipping_limit_date"),
         F.sort_array(F.collect_list("seller_id")).alias("seller_ids"),
@@ -88,15 +90,15 @@ def int_order_financials(m, as_of=None) -> DataFrame:
     """Payments per order: amounts by type, flags, counts."""
     kind = F.col("payment_type")
     by_type = m["stg_order_payments"].groupBy("order_id", "payment_type").agg(
-        total("payment_amount").alias("amount"),
+        F.sum(cents("payment_amount")).alias("amount"),
         F.max("payment_installments").alias("installments"),
     )
     amounts = by_type.groupBy("order_id").agg(
-        F.sum("amount").cast("decimal(20,2)").alias("payment_total"),
+        from_cents(F.sum("amount")).alias("payment_total"),
         *[
-            F.sum(F.when(kind == t, F.col("amount")).otherwise(0))
-            .cast("decimal(20,2)")
-            .alias(f"{t}_amount")
+            from_cents(F.sum(F.when(kind == t, F.col("amount")).otherwise(0))).alias(
+                f"{t}_amount"
+            )
             for t in PAYMENT_TYPES
         ],
         *[
@@ -323,9 +325,9 @@ def int_product_performance(m, as_of) -> DataFrame:
         .agg(
             F.count("order_id").alias("total_orders"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("price").cast("decimal(20,2)").alias("total_revenue"),
-            F.sum("shipping").cast("decimal(20,2)").alias("total_shipping_revenue"),
-            F.sum("gmv").cast("decimal(20,2)").alias("total_gmv"),
+            from_cents(F.sum("price_cents")).alias("total_revenue"),
+            from_cents(F.sum("shipping_cents")).alias("total_shipping_revenue"),
+            from_cents(F.sum("gmv_cents")).alias("total_gmv"),
             F.min("min_price").alias("min_price"),
             F.max("max_price").alias("max_price"),
             F.sum("price_sq").alias("_sq"),
@@ -426,9 +428,9 @@ def int_seller_performance(m, as_of=None) -> DataFrame:
             per_item(F.col("order_status") == "delivered").alias("delivered_orders"),
             per_item(F.col("order_status") == "canceled").alias("canceled_orders"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            F.sum("price").cast("decimal(20,2)").alias("total_gmv"),
+            from_cents(F.sum("price_cents")).alias("total_gmv"),
             F.sum("priced").alias("_priced"),
-            F.sum("shipping").cast("decimal(20,2)").alias("total_shipping_collected"),
+            from_cents(F.sum("shipping_cents")).alias("total_shipping_collected"),
             weighted_mean("item_rows", "review_score").alias("avg_review_score"),
             per_item("is_positive_review").alias("positive_reviews"),
             per_item("is_negative_review").alias("negative_reviews"),

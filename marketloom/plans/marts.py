@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import (
     day_diff,
+    from_cents,
     ladder,
     mean,
     mean_over_all,
@@ -15,6 +16,7 @@ from marketloom.functions import (
     ratio,
     total,
     weighted_mean,
+    weighted_mean_micros,
 )
 from marketloom.functions.time import micros_between
 from marketloom.operators.ranking import percent_ranks
@@ -308,9 +310,9 @@ def mart_sellers(m, as_of: Column) -> DataFrame:
             per_item("is_delivered_on_time").alias("on_time_deliveries"),
             per_item(late).alias("late_deliveries"),
             F.sum("items").alias("total_items_sold"),
-            F.sum("price").cast("decimal(20,2)").alias("total_revenue"),
-            F.sum("shipping").cast("decimal(20,2)").alias("total_shipping_revenue"),
-            F.sum("gmv").cast("decimal(20,2)").alias("total_gmv"),
+            from_cents(F.sum("price_cents")).alias("total_revenue"),
+            from_cents(F.sum("shipping_cents")).alias("total_shipping_revenue"),
+            from_cents(F.sum("gmv_cents")).alias("total_gmv"),
             F.sum("priced").alias("_priced"),
             F.sum("freighted").alias("_freighted"),
             F.count_distinct("customer_id").alias("unique_customers"),
@@ -321,8 +323,8 @@ def mart_sellers(m, as_of: Column) -> DataFrame:
             F.count_if("has_review_comment").alias("reviews_with_comments"),
             F.min("purchased_at").alias("first_order_date"),
             F.max("purchased_at").alias("last_order_date"),
-            weighted_mean(n, "_took", day).alias("average_delivery_time_days"),
-            weighted_mean(n, "_early", day).alias("average_delivery_variance_days"),
+            weighted_mean_micros(n, "_took", day).alias("average_delivery_time_days"),
+            weighted_mean_micros(n, "_early", day).alias("average_delivery_variance_days"),
             F.count_distinct(month_start("purchased_at")).alias("active_months"),
         )
         .withColumn("average_item_price", ratio("total_revenue", "_priced", 6))
@@ -476,7 +478,7 @@ def seller_order_history(m, as_of=None) -> DataFrame:
         .select(
             "seller_id", "order_id", "customer_id",
             F.col("purchased_at").alias("order_date"),
-            F.col("price").alias("order_value"),
+            from_cents("price_cents").alias("order_value"),
         )
     )
 
