@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.functions import total
+from marketloom.functions import money, total
 from marketloom.operators.keyed import missing_parents
 from marketloom.plans.rules import Rule, all_rules
 
@@ -105,18 +105,17 @@ def rules_of(kind: str) -> list[Rule]:
 
 def dq_order_dates(m, as_of: Column) -> DataFrame:
     """Raw orders whose dates contradict each other or lie in the future."""
-    bought = F.col("order_purchase_timestamp")
+    dates = ["order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date"]
+    orders = m["orders"].select(
+        "order_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in dates]
+    )
+    bought, approved, delivered = (F.col(c) for c in dates)
     today = as_of.cast("date").cast("timestamp_ntz")
-    wrong = (
-        (F.col("order_delivered_customer_date").isNotNull()
-         & (bought > F.col("order_delivered_customer_date")))
-        | (F.col("order_approved_at").isNotNull() & (bought > F.col("order_approved_at")))
+    return orders.filter(
+        (delivered.isNotNull() & (bought > delivered))
+        | (approved.isNotNull() & (bought > approved))
         | (bought > today)
     )
-    return m["orders"].filter(wrong).select(
-        "order_id", "order_purchase_timestamp", "order_approved_at",
-        "order_delivered_customer_date",
-    )
 
 
 def dq_revenue_integrity(m, as_of=None, with_freight: bool = False) -> DataFrame:
@@ -124,14 +123,14 @@ def dq_revenue_integrity(m, as_of=None, with_freight: bool = False) -> DataFrame
 
     As declared, items count without freight, which flags most freighted
     orders; ``with_freight`` compares what was really charged."""
-    charged = F.col("price")
+    charged = money("price")
     if with_freight:
-        charged = charged + F.col("freight_value")
+        charged = charged + money("freight_value")
     items = m["order_items"].groupBy("order_id").agg(
         total(charged).alias("calculated_total_price")
     )
     paid = m["order_payments"].groupBy("order_id").agg(
-        total("payment_value").alias("payment_total")
+        total(money("payment_value")).alias("payment_total")
     )
     gap = F.abs(F.col("calculated_total_price") - F.col("payment_total"))
     return (
