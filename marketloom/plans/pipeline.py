@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import uuid
 from dataclasses import dataclass
 
@@ -13,12 +12,9 @@ from marketloom.plans.quality import evaluate
 from marketloom.plans.rules import Rule, all_rules
 from marketloom.plans.staging import STAGING
 from marketloom.plans.warehouse import MODELS, TABLES, Warehouse, layer
-from marketloom.sources.landing import land_raw_text
-from marketloom.sources.schemas import SOURCES
+from marketloom.sources.landing import PREFIX, land_raw_text
 from marketloom.sources.tables import save_table
 
-log = logging.getLogger(__name__)
-
 
 class QualityError(RuntimeError):
     """A rule of severity 'error' has failing rows; nothing was published."""
@@ -55,7 +51,7 @@ class LandedText:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.tables:
-            return self.spark.read.parquet(f"{self.folder}/olist_{name}")
+            return self.spark.read.parquet(f"{self.folder}/{PREFIX}{name}")
         return self.sources[name]
 
 
@@ -115,15 +111,3 @@ def publish(spark: SparkSession, models: Warehouse, paths: dict[str, str], datab
     for name, path in paths.items():
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
         spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{path}'")
-
-
-def missing_sources(sources) -> list[str]:
-    """Declared source tables that ``sources`` cannot provide."""
-    lacking = []
-    for name in SOURCES:
-        try:
-            sources[name]
-        except Exception as e:
-            log.warning("source %s is missing: %r", name, e)
-            lacking.append(name)
-    return lacking

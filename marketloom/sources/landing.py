@@ -12,6 +12,8 @@ log = logging.getLogger(__name__)
 
 # The source tables the daily landing step copies.
 LANDED = ["orders", "order_items", "products", "customers", "sellers", "order_reviews"]
+# Fixed value: prefix of the landed tables.
+PREFIX = "olist_"
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -24,7 +26,7 @@ def land_raw_text(
     out_dir: str,
     tables: list[str] = LANDED,
 ) -> DataFrame:
-    """Copy each table to ``out_dir/olist_<table>`` as text.
+    """Copy each table to ``out_dir/<prefix><table>`` as text.
 
     ``read(name)`` may return any DataFrame (a JDBC read included) and may
     raise: that table is marked failed and the others go on.  An empty source
@@ -40,7 +42,7 @@ def land_raw_text(
                 continue
             seen = Observation(f"land_{name}")
             text = as_text(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-            text.write.mode("overwrite").parquet(f"{out_dir}/olist_{name}")
+            text.write.mode("overwrite").parquet(f"{out_dir}/{PREFIX}{name}")
             outcome.append((name, "ok", seen.get["rows"]))
         except Exception as e:
             log.warning("landing of %s failed: %r", name, e)
