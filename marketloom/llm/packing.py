@@ -39,6 +39,7 @@ VOCABULARY = "word_bpe_49k.json"
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Chunks of these characters alone lower-case and normalise character by character.
 _PLAIN = regex.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+_LETTERS = regex.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Punctuation that ends a word and is a pre-token of its own.
 TAIL = string.punctuation.replace("'", "").encode()
 
