@@ -5,16 +5,47 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.llm.decontaminate import decontaminate
+from marketloom.llm.langid import identify
 from marketloom.llm.packing import pack_documents
+from marketloom.llm.quality import judge
 from marketloom.llm.sharding import shard_by_bytes
+from marketloom.llm.urls import Rule, judge_urls
+from marketloom.llm.warc import archive_and_read
 
 SHARDS = 24
+URL_RULES = [
+    Rule("org/", True), Rule("example.org/es/", False), Rule("example.org/en/1", False),
+    Rule("com/fr/", True), Rule("com/de/", False),
+]
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_url_filter(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_quality(spark, sf_dir):
+    judged = judge(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (
+        F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words")
+    )
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior",
+    )
+
+
+def op5_warc(spark, sf_dir):
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
+def op8_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate(docs, items, window=10).drop("spans")
@@ -33,6 +64,10 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op4_url_filter": op4_url_filter,
+    "op5_warc": op5_warc,
+    "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op10_packing": op10_packing,
