@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.llm.decontaminate import decontaminate
+from marketloom.llm.jaccard import jaccard_classes
 from marketloom.llm.langid import identify
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.quality import judge
@@ -23,6 +24,10 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
 def op4_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -64,6 +69,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
     "op8_language_id": op8_language_id,
