@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,3 +57,13 @@ def map_texts(
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when a written ``df`` is counted to be small."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def reach_workers(spark) -> None:
+    """Let Python workers import this package from where the driver has it (a
+    cluster without that folder gets it as a file of ``--py-files``)."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])

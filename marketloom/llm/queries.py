@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketloom.llm.common import reach_workers
 from marketloom.llm.decontaminate import decontaminate
 from marketloom.llm.jaccard import jaccard_classes
 from marketloom.llm.langid import identify
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.quality import judge
 from marketloom.llm.sharding import shard_by_bytes
+from marketloom.llm.substrings import remove_repeats
 from marketloom.llm.urls import Rule, judge_urls
 from marketloom.llm.warc import archive_and_read
 
@@ -21,9 +23,15 @@ URL_RULES = [
 
 
 def table(spark, sf_dir: str, name: str):
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    kept = remove_repeats(table(spark, sf_dir, "documents"), window=35, with_text=False)
+    return kept.drop("spans")
+
+
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), k=5, percent=80)
 
@@ -69,6 +77,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
