@@ -346,11 +346,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def jaccard_classes(
+def rooted_rows(
     docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(id, n_shingles, component_id): component_id is the least id that links
-    lead to, one row per row of ``docs``."""
+    """(row, id, n, root), written: rows with one root are linked; a row with an
+    empty set (n = 0) is linked with nothing."""
     rows = write_scratch(members(docs, k, id_col, text_col), "members")
     sets = rows.filter("n > 0").groupBy("key").agg(
         F.min("row").alias("row"), F.min("n").alias("n"), F.min("m").alias("m")
@@ -382,9 +382,39 @@ def jaccard_classes(
     rooted = rows.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")
     )
-    rooted = write_scratch(rooted, "rooted")
+    return write_scratch(rooted.select("row", "id", "n", "root"), "rooted")
+
+
+def jaccard_classes(
+    docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """(id, n_shingles, component_id): component_id is the least id that links
+    lead to, one row per row of ``docs``."""
+    rooted = rooted_rows(docs, k, percent, id_col, text_col)
     least = rooted.filter("n > 0").groupBy("root").agg(F.min("id").alias("least"))
     return rooted.join(least, "root", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def keep_one(
+    docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns: of linked rows the one with the least
+    id (nulls last), and every row with an empty set.  Of rows that repeat id and
+    text one stays."""
+    rooted = rooted_rows(docs, k, percent, id_col, text_col)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    first = rooted.filter("n > 0").groupBy("root").agg(F.min(order).alias("first"))
+    names = first.select(F.col("first.row").alias("row")).union(
+        rooted.filter("n = 0").select("row")
+    ).distinct()
+    copies = rooted.groupBy("row").agg((F.count("*") > 1).alias("repeated"))
+    kept = write_scratch(names.join(copies, "row"), "kept")
+    found = docs.select(
+        F.struct(*docs.columns).alias("doc"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
+    ).join(kept, "row")
+    once = found.filter("not repeated").select("doc")
+    again = found.filter("repeated").groupBy("row").agg(F.first("doc").alias("doc")).select("doc")
+    return once.union(again).select("doc.*")

@@ -213,3 +213,20 @@ def identify(
 def held(id_col: str) -> Column:
     remainder = F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
     return F.coalesce(remainder == 1, F.lit(False))
+
+
+def keep_known(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    sample: int = SAMPLE,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is clear: neither "und"
+    nor ambiguous.  A null language is filled with the predicted one."""
+    learnable = ~held(id_col) & F.col(id_col).isNotNull()
+    decoder = learn(docs, learnable, sample, id_col, text_col, lang_col)
+    found = predict_rows(docs, decoder, docs.columns, text_col)
+    clear = found.filter((F.col("out.lang_pred") != UNKNOWN) & ~F.col("out.ambiguous"))
+    return clear.select([
+        (F.coalesce(F.col("row").getField(c), "out.lang_pred") if c == lang_col
+         else F.col("row").getField(c)).alias(c)
+        for c in docs.columns
+    ])

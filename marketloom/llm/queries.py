@@ -29,7 +29,7 @@ def table(spark, sf_dir: str, name: str):
 
 def op1_substring_dedup(spark, sf_dir):
     kept = remove_repeats(table(spark, sf_dir, "documents"), window=35, with_text=False)
-    return kept.drop("spans")
+    return kept.drop("spans", "text")
 
 
 def op2_jaccard_join(spark, sf_dir):

@@ -35,6 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from marketloom.llm.common import text_bytes
 from marketloom.llm.decontaminate import merge
@@ -90,7 +92,7 @@ def segments(words: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def _row(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
+    return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
 _PACKED = (("anchor", np.uint64), ("seg", np.uint64), ("row", np.int64), ("start", np.uint32), ("windows", np.uint16))
@@ -246,7 +248,9 @@ def _reference(docs: DataFrame, repeated: DataFrame, window: int, id_col: str, t
         .groupBy("row")
         .agg(F.collect_list(F.struct("anchor", "seg", "start", "windows", "copies", "kinds")).alias("parts"))
     )
-    source = docs.select(_row(id_col, text_col), text_bytes(text_col).alias("text")).join(wanted, "row")
+    source = docs.select(
+        _row(id_col, text_col).alias("row"), text_bytes(text_col).alias("text")
+    ).join(wanted, "row")
 
     def run(batches):
         for batch in batches:
@@ -320,7 +324,7 @@ def repeated_spans(
     """(row, spans): word spans [a, b) of each row's text that repeat; ``row`` is
     the hash of id and text."""
     spark = docs.sparkSession
-    source = docs.select(_row(id_col, text_col), text_bytes(text_col).alias("text"))
+    source = docs.select(_row(id_col, text_col).alias("row"), text_bytes(text_col).alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(parts, -(-size // (80 * RANGE_SEGMENTS)))  # a segment for about 80 bytes
@@ -339,38 +343,71 @@ def repeated_spans(
     )
 
 
-def remove_repeats(
-    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-    with_text: bool = True,
-) -> DataFrame:
-    """id, n_words, n_removed, kept_sha256 (of the kept words joined by one
-    space), spans (word numbers) and, on request, the text without the repeats.
+RESULT = T.StructType([
+    T.StructField("n_words", T.LongType()),
+    T.StructField("n_removed", T.LongType()),
+    T.StructField("kept_sha256", T.StringType()),
+    T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())
+    ]))),
+    T.StructField("text", T.StringType()),
+])
+
 
-    Text outside the repeats keeps its own white space."""
+def cleaned_rows(
+    docs: DataFrame, carry: list, window: int = WINDOW, id_col: str = "doc_id",
+    text_col: str = "text", with_text: bool = True,
+) -> DataFrame:
+    """``row`` (the carried columns) and ``out`` (RESULT; the text only on
+    request) for every row of ``docs``."""
     spans = repeated_spans(docs, window, id_col, text_col)
     source = docs.select(
-        F.col(id_col).alias("id"), _row(id_col, text_col), text_bytes(text_col).alias("text")
-    ).join(spans, "row", "left").select("id", "text", "spans")
-    id_type = source.schema["id"].dataType.simpleString()
-    schema = (
-        f"id {id_type}, n_words long, n_removed long, kept_sha256 string, "
-        "spans array<struct<a:int,b:int>>"
-    ) + (", text string" if with_text else "")
+        F.struct(*carry).alias("row"), _row(id_col, text_col).alias("key"),
+        text_bytes(text_col).alias("text"),
+    ).join(spans.withColumnRenamed("row", "key"), "key", "left").select("row", "text", "spans")
+    fields = list(to_arrow_type(RESULT))
 
     def run(batches):
         for batch in batches:
-            out = []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                out.append(without(text, merge([(s["a"], s["b"]) for s in found or []]), with_text))
-            columns = list(zip(*out)) or [()] * (5 if with_text else 4)
-            kinds = [pa.int64(), pa.int64(), pa.string(),
-                     pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(c, t) for c, t in zip(columns, kinds))],
-                ["id", "n_words", "n_removed", "kept_sha256", "spans", "text"][: len(columns) + 1],
+            out = [
+                without(text, merge([(s["a"], s["b"]) for s in found or []]), with_text)
+                for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+            ]
+            columns = list(zip(*out)) or [()] * len(fields)
+            struct = pa.StructArray.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields
             )
+            yield pa.RecordBatch.from_arrays([batch.column("row"), struct], ["row", "out"])
+
+    return source.mapInArrow(run, T.StructType([source.schema["row"], T.StructField("out", RESULT)]))
 
-    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+    with_text: bool = True,
+) -> DataFrame:
+    """id, n_words, n_removed, kept_sha256 (of the kept words joined by one
+    space), spans (word numbers) and the text without the repeats, which keeps its
+    own white space elsewhere."""
+    found = cleaned_rows(docs, [id_col], window, id_col, text_col, with_text)
+    return found.select(F.col("row").getField(id_col).alias(id_col), "out.*")
+
+
+def drop_repeats(
+    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+    length_col: str = "n_chars",
+) -> DataFrame:
+    """``docs`` with repeats cut out of the text and the length brought up to
+    date; a document goes if words were cut and none is left."""
+    found = cleaned_rows(docs, docs.columns, window, id_col, text_col)
+    found = found.filter((F.col("out.n_removed") == 0) | (F.col("out.n_removed") < F.col("out.n_words")))
+    text = {text_col: F.col("out.text"), length_col: F.char_length("out.text").cast("long")}
+    changed = F.col("out.n_removed") > 0
+    return found.select([
+        F.when(changed, text[c]).otherwise(F.col("row").getField(c)).alias(c) if c in text
+        else F.col("row").getField(c).alias(c)
+        for c in docs.columns
+    ])
 
 
 def without(text: bytes | None, spans: list[list[int]], with_text: bool) -> tuple:
@@ -385,7 +422,7 @@ def without(text: bytes | None, spans: list[list[int]], with_text: bool) -> tupl
     pairs = [{"a": a, "b": b} for a, b in spans]
     result = (len(words), len(words) - len(kept), digest, pairs)
     if not with_text:
-        return result
+        return (*result, None)
     if text is None or not spans:
         return (*result, None if text is None else text.decode("utf-8", "replace"))
     _, starts, ends = word_spans(text)
