@@ -12,6 +12,7 @@ from marketloom.llm.packing import pack_documents
 from marketloom.llm.quality import judge
 from marketloom.llm.sharding import shard_by_bytes
 from marketloom.llm.substrings import remove_repeats
+from marketloom.llm.token_counts import section_tokens
 from marketloom.llm.urls import Rule, judge_urls
 from marketloom.llm.warc import archive_and_read
 
@@ -36,6 +37,10 @@ def op2_jaccard_join(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"), k=5, percent=80)
 
 
+def op3_token_counts(spark, sf_dir):
+    return section_tokens(table(spark, sf_dir, "documents"), rule="start")
+
+
 def op4_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -79,6 +84,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_token_counts": op3_token_counts,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
     "op8_language_id": op8_language_id,
