@@ -19,7 +19,7 @@ from marketloom.plans.staging import stg_orders
 from marketloom.plans.warehouse import Warehouse
 from marketloom.sources.schemas import SOURCES
 from marketloom.sources.tables import write_scratch
-from marketloom.streaming.keyed_table import KeyedTable
+from marketloom.streaming.keyed_table import KeyedTable, exists
 
 KEYS = {
     "int_orders_with_items": "order_id",
@@ -43,7 +43,7 @@ class IncrementalModels:
     customers, ...); the orders themselves come with the batches."""
 
     def __init__(self, spark: SparkSession, root: str, sources, as_of=None, buckets: int = 64):
-        self.spark, self.sources, self.as_of = spark, sources, as_of
+        self.spark, self.root, self.sources, self.as_of = spark, root, sources, as_of
         table = lambda name, key: KeyedTable(spark, f"{root}/{name}", key, buckets)
         self.orders = table("orders", "order_id")
         self.tables = {
@@ -66,91 +66,111 @@ class IncrementalModels:
         self.tables[name].upsert(frozen, frozen=True)
         return frozen
 
+    def _frozen(self, batch_id, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """``make()``, written once for each batch id, so that a replay after a
+        failure starts from what the first attempt saw.  A second table marks the
+        first as complete."""
+        if batch_id is None:
+            return write_scratch(make(), label)
+        path = f"{self.root}/batches/{batch_id}/{label}"
+        if not exists(self.spark, f"{path}-complete"):
+            make().write.mode("overwrite").parquet(path)
+            self.spark.range(1).write.mode("overwrite").parquet(f"{path}-complete")
+        return self.spark.read.parquet(path)
+
     def _affected(self, name: str, entities: DataFrame, touched: DataFrame) -> DataFrame:
-        """Entities to recompute: all on the first run, later the touched ones
-        and those the table does not know yet."""
+        """Keys to recompute: all on the first run, later the touched ones and
+        those the table does not know yet."""
         target, key = self.tables[name], KEYS[name]
         if not target.exists():
-            return entities
+            return entities.select(key).distinct()
         unseen = entities.select(key).join(target.read().select(key), key, "left_anti")
-        keys = write_scratch(touched.select(key).union(unseen).distinct(), f"keys-{key}")
-        return entities.join(keys, key, "left_semi")
+        return touched.select(key).union(unseen).distinct()
 
     def process(self, batch: DataFrame, batch_id: int | None = None) -> None:
         """Apply one batch of raw orders.  Of several versions of an order in
-        one batch the last purchase/approval/delivery state wins."""
-        batch = write_scratch(_last_version(batch), "orders-batch")
+        one batch the one that arrived last wins (column ``_arrived``, if there is
+        one).  The versions and all affected keys are written down before the
+        first table is touched: running a batch id again, after a failure at any
+        point, ends in the same tables."""
+        batch = self._frozen(batch_id, "orders", lambda: _last_version(batch))
         base = self._models()
         ids = batch.select("order_id")
         items, payments, reviews = (
             base[t] for t in ("stg_order_items", "stg_order_payments", "stg_order_reviews")
         )
         known = self.tables["int_orders_with_items"]
-        # customers of the previous versions, in case an order changed hands
-        before = (
-            write_scratch(
-                known.read().join(ids, "order_id", "left_semi").select("customer_id"),
-                "previous-customers",
-            )
-            if known.exists()
-            else None
+
+        def customers():
+            # also those of the previous versions, in case an order changed hands
+            touched = batch.select("customer_id")
+            if known.exists():
+                before = known.read().join(ids, "order_id", "left_semi").select("customer_id")
+                touched = touched.union(before)
+            return self._affected("int_customer_orders", base["stg_customers"], touched)
+
+        of_orders = items.join(ids, "order_id", "left_semi")
+        touched = self._frozen(
+            batch_id, "touched", lambda: of_orders.select("seller_id", "product_id").distinct()
         )
+        keys = {
+            "customers": self._frozen(batch_id, "customers", customers),
+            "sellers": self._frozen(batch_id, "sellers", lambda: self._affected(
+                "int_seller_performance", base["stg_sellers"], touched)),
+            "products": self._frozen(batch_id, "products", lambda: self._affected(
+                "int_product_performance", base["stg_products"], touched)),
+        }
         self.orders.upsert(batch, frozen=True)
         of_batch = self._models(
             stg_orders=stg_orders({"orders": batch}),
-            stg_order_items=items.join(ids, "order_id", "left_semi"),
+            stg_order_items=of_orders,
             stg_order_payments=payments.join(ids, "order_id", "left_semi"),
             stg_order_reviews=reviews.join(ids, "order_id", "left_semi"),
         )
         self._upsert("int_orders_with_items", of_batch["int_orders_with_items"])
 
         history = self["int_orders_with_items"]
-        customers = batch.select("customer_id")
-        if before is not None:
-            customers = customers.union(before)
-        # items of the batch's orders, read again by two of the branches
-        touched = write_scratch(
-            of_batch["stg_order_items"].select("seller_id", "product_id").distinct(),
-            "touched-items",
-        )
         # the branches are independent: let their stages share the cluster
         with ThreadPoolExecutor(3) as pool:
             jobs = [
-                pool.submit(self._customers, base, history, customers),
-                pool.submit(self._sellers, base, history, items, touched),
-                pool.submit(self._products, base, history, items, touched),
+                pool.submit(self._customers, base, history, keys["customers"]),
+                pool.submit(self._sellers, base, history, items, keys["sellers"]),
+                pool.submit(self._products, base, history, items, keys["products"]),
             ]
             for job in jobs:
                 job.result()
 
-    def _customers(self, base, history: DataFrame, touched: DataFrame) -> None:
-        who = self._affected("int_customer_orders", base["stg_customers"], touched)
+    def refresh_orders(self, changed: DataFrame, batch_id: int | None = None) -> None:
+        """Recompute known orders, and all that follows from them, whose items,
+        payments or reviews came or changed after the order itself.  ``changed``
+        has a column ``order_id``."""
+        ids = changed.select("order_id").distinct()
+        self.process(self.orders.read().join(ids, "order_id", "left_semi"), batch_id)
+
+    def _customers(self, base, history: DataFrame, keys: DataFrame) -> None:
+        who = base["stg_customers"].join(keys, "customer_id", "left_semi")
         scope = self._models(
             stg_customers=who,
-            int_orders_with_items=history.join(
-                who.select("customer_id"), "customer_id", "left_semi"
-            ),
+            int_orders_with_items=history.join(keys, "customer_id", "left_semi"),
         )
         self._upsert("int_customer_orders", scope["int_customer_orders"])
         self._upsert("mart_customers", scope["mart_customers"])
 
-    def _sellers(self, base, history: DataFrame, items: DataFrame, touched: DataFrame) -> None:
-        who = self._affected("int_seller_performance", base["stg_sellers"], touched)
+    def _sellers(self, base, history: DataFrame, items: DataFrame, keys: DataFrame) -> None:
         scope = self._models(
             tables=["int_order_sellers"],
-            stg_sellers=who,
+            stg_sellers=base["stg_sellers"].join(keys, "seller_id", "left_semi"),
             stg_orders=stg_orders({"orders": self.orders.read()}),
-            stg_order_items=items.join(who.select("seller_id"), "seller_id", "left_semi"),
+            stg_order_items=items.join(keys, "seller_id", "left_semi"),
             int_orders_with_items=history,
         )
         self._upsert("int_seller_performance", scope["int_seller_performance"])
         self._upsert("mart_sellers", scope["mart_sellers"])
 
-    def _products(self, base, history: DataFrame, items: DataFrame, touched: DataFrame) -> None:
-        who = self._affected("int_product_performance", base["stg_products"], touched)
+    def _products(self, base, history: DataFrame, items: DataFrame, keys: DataFrame) -> None:
         scope = self._models(
-            stg_products=who,
-            stg_order_items=items.join(who.select("product_id"), "product_id", "left_semi"),
+            stg_products=base["stg_products"].join(keys, "product_id", "left_semi"),
+            stg_order_items=items.join(keys, "product_id", "left_semi"),
             int_orders_with_items=history,
         )
         rows = self._upsert("int_product_performance", scope["int_product_performance"])
@@ -167,25 +187,46 @@ class IncrementalModels:
         self._upsert("mart_product_categories", scope["mart_product_categories"])
 
 
+#: Order states from first to last.
+PROGRESS = (
+    "created", "approved", "invoiced", "processing", "shipped", "delivered",
+    "unavailable", "canceled",
+)
+
+
 def _last_version(batch: DataFrame) -> DataFrame:
-    """One row per order: the version with the latest progress (an unknown
-    date sorts lowest).  A mergeable ``max``, so that an order repeated a
-    billion times in a batch is reduced before the shuffle."""
+    """One row per order: the version that arrived last; of versions that arrived
+    together the one further on (an unknown date sorts lowest).  A mergeable
+    ``max``, so that an order repeated a billion times in a batch is reduced
+    before the shuffle."""
+    state = F.coalesce(
+        F.array_position(F.array(*map(F.lit, PROGRESS)), F.col("order_status")), F.lit(0)
+    )
+    arrived = F.col("_arrived") if "_arrived" in batch.columns else F.lit(None).cast("timestamp")
+    columns = [c for c in batch.columns if c != "_arrived"]
     first = [
-        "order_delivered_customer_date", "order_delivered_carrier_date",
-        "order_approved_at", "order_status",
+        state.alias("_state"),
+        *map(F.col, (
+            "order_delivered_customer_date", "order_delivered_carrier_date", "order_approved_at",
+            "order_status",
+        )),
     ]
-    rest = [c for c in batch.columns if c not in (*first, "order_id")]
-    last = batch.groupBy("order_id").agg(F.max(F.struct(*first, *rest)).alias("_r"))
-    return last.select("order_id", "_r.*").select(*batch.columns)
+    named = ("order_delivered_customer_date", "order_delivered_carrier_date",
+             "order_approved_at", "order_status", "order_id")
+    rest = [F.col(c) for c in columns if c not in named]
+    version = F.struct(arrived.alias("_arrived"), *first, *rest)
+    last = batch.groupBy("order_id").agg(F.max(version).alias("_r"))
+    return last.select("order_id", "_r.*").select(*columns)
 
 
 def order_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming reader over a folder of arriving order files."""
+    """Streaming reader over a folder of arriving order files; ``_arrived`` is the
+    time at which a row's file came."""
     reader = spark.readStream.schema(SOURCES["orders"].schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(landing)
+    stream = reader.parquet(landing)
+    return stream.select("*", F.col("_metadata.file_modification_time").alias("_arrived"))
 
 
 def run_available(

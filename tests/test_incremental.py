@@ -60,3 +60,63 @@ def test_batches_equal_full_refresh(spark, tmp_path):
     full = Warehouse(spark, data, "2018-01-01", tables=())
     for name in KEYS:
         assert rows(inc[name]) == rows(full[name]), name
+
+
+def test_last_arrival_wins_within_a_batch(spark, tmp_path):
+    data = shop(spark)
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), data, "2018-01-01", buckets=2)
+    made = order("o2", "c1", "created", "2017-02-01 10:00:00", None, "2017-02-10 00:00:00")
+    stopped = order("o2", "c1", "canceled", "2017-02-01 10:00:00", None, "2017-02-10 00:00:00")
+    together = typed(shop(spark, orders=[stopped, made])["orders"])
+    inc.process(together)
+    status = lambda: inc["int_orders_with_items"].select("order_status").first()[0]
+    assert status() == "canceled"
+    back = typed(shop(spark, orders=[made])["orders"]).withColumn(
+        "_arrived", F.lit("2020-01-02").cast("timestamp"))
+    inc.process(back.union(typed(shop(spark, orders=[stopped])["orders"]).withColumn(
+        "_arrived", F.lit("2020-01-01").cast("timestamp"))))
+    assert status() == "created"
+
+
+def test_replay_after_a_failure_at_every_step(spark, tmp_path, monkeypatch):
+    """An order changes hands; whichever table fails, the replay ends right."""
+    moved = list(ROWS["orders"])
+    at = next(i for i, o in enumerate(moved) if o[0] == "o2")
+    moved[at] = ("o2", "c3", *moved[at][2:])
+    data = shop(spark, orders=moved)
+    full = Warehouse(spark, data, "2018-01-01", tables=())
+    want = rows(full["int_customer_orders"]), rows(full["mart_customers"])
+    for fail in ("int_orders_with_items", "int_customer_orders", "mart_customers"):
+        inc = IncrementalModels(spark, str(tmp_path / fail), data, "2018-01-01", buckets=2)
+        inc.process(typed(shop(spark)["orders"]), 0)
+        batch = typed(shop(spark, orders=[moved[at]])["orders"])
+        usual = IncrementalModels._upsert
+
+        def broken(self, name, df, fail=fail):
+            done = usual(self, name, df)
+            if name == fail:
+                raise RuntimeError(name)
+            return done
+
+        monkeypatch.setattr(IncrementalModels, "_upsert", broken)
+        try:
+            inc.process(batch, 1)
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(IncrementalModels, "_upsert", usual)
+        inc.process(batch, 1)
+        assert (rows(inc["int_customer_orders"]), rows(inc["mart_customers"])) == want, fail
+
+
+def test_late_children_refresh_their_order(spark, tmp_path):
+    late = [r for r in ROWS["order_payments"] if r[0] == "o1"]
+    rest = [r for r in ROWS["order_payments"] if r[0] != "o1"]
+    assert late
+    inc = IncrementalModels(
+        spark, str(tmp_path / "inc"), shop(spark, order_payments=rest), "2018-01-01", buckets=2)
+    inc.process(typed(shop(spark)["orders"]), 0)
+    inc.sources = shop(spark)
+    inc.refresh_orders(spark.createDataFrame([("o1",)], "order_id string"), 1)
+    full = Warehouse(spark, shop(spark), "2018-01-01", tables=())
+    for name in KEYS:
+        assert rows(inc[name]) == rows(full[name]), name
