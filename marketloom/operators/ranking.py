@@ -23,11 +23,6 @@ from pyspark.sql import Window as W
 
 from marketloom.sources.tables import write_scratch
 
-# A group above this size is numbered across range partitions instead of inside
-# one task.
-HOT_GROUP_ROWS = 1_000_000
-
-
 def positions(
     df: DataFrame, order: list[str], weight: str | None = None, label: str = "ranked"
 ) -> DataFrame:
@@ -157,27 +152,16 @@ def ntile(df: DataFrame, key: str, column: str, buckets: int, out: str) -> DataF
     return placed.select(key, column, tile.cast("bigint").alias(out))
 
 
-def number_within(
-    df: DataFrame, key: str, order: list[str], out: str, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def number_within(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
     """``row_number() over (partition by key order by order)`` as ``out``.
 
-    Ordinary groups use the window.  Groups above ``hot_rows`` (there are at
-    most rows/hot_rows of them) are spread over range partitions, numbered
-    globally and shifted by the first position of their group."""
-    w = W.partitionBy(key).orderBy(*order)
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
-    if hot.isEmpty():
-        return df.withColumn(out, F.row_number().over(w))
-    hot = write_scratch(hot, "hot-groups")
-    usual = df.join(hot, key, "left_anti").withColumn(out, F.row_number().over(w))
-    placed = positions(
-        df.join(hot, key, "left_semi"), [key, *order], label="hot-numbering"
-    )
-    first = placed.groupBy(key).agg(F.min("before").alias("_first"))
-    spread = (
-        placed.join(first, key)
+    All rows are numbered across range partitions and shifted by the first
+    position of their key, so a key of any size (NULL is a key like the others)
+    is spread over as many tasks as its rows need."""
+    placed = positions(df, [key, *order], label="numbering")
+    first = placed.groupBy(F.col(key).alias("_key")).agg(F.min("before").alias("_first"))
+    return (
+        placed.join(first, F.col(key).eqNullSafe(F.col("_key")))
         .withColumn(out, (F.col("before") - F.col("_first") + 1).cast("int"))
-        .select(*usual.columns)
+        .select(*df.columns, out)
     )
-    return usual.unionByName(spread)
