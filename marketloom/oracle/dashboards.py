@@ -179,15 +179,17 @@ FROM (SELECT category_name, date_part('month', first_ordered_at) AS month_number
     "q_prod_2_4": f"""SELECT c1.category_name AS category_1, c2.category_name AS category_2,
  c1.n AS products_in_category_1, c2.n AS products_in_category_2,
  c1.rating AS category_1_avg_rating, c2.rating AS category_2_avg_rating,
- CASE WHEN c1.vp>1 AND c2.vp>1 THEN 0.0::DOUBLE END AS price_correlation,
- CASE WHEN c1.vo>1 AND c2.vo>1 THEN 0.0::DOUBLE END AS order_volume_correlation
-FROM (SELECT category_name, COUNT(DISTINCT product_id) AS n, {_RATING} AS rating,
- COUNT(DISTINCT avg_price) AS vp, COUNT(DISTINCT total_orders) AS vo
- FROM {_P} GROUP BY 1 HAVING COUNT(DISTINCT product_id)>5) c1
-JOIN (SELECT category_name, COUNT(DISTINCT product_id) AS n, {_RATING} AS rating,
- COUNT(DISTINCT avg_price) AS vp, COUNT(DISTINCT total_orders) AS vo
- FROM {_P} GROUP BY 1 HAVING COUNT(DISTINCT product_id)>5) c2
- ON c1.category_name < c2.category_name
+ ABS(ROUND(x.price, 2)) AS price_correlation, ABS(ROUND(x.orders, 2)) AS order_volume_correlation
+FROM (SELECT p1.category_name AS a, p2.category_name AS b,
+ CASE WHEN COUNT(DISTINCT p1.avg_price)>1 AND COUNT(DISTINCT p2.avg_price)>1
+  THEN corr(p1.avg_price::DOUBLE, p2.avg_price::DOUBLE) END AS price,
+ CASE WHEN COUNT(DISTINCT p1.total_orders)>1 AND COUNT(DISTINCT p2.total_orders)>1
+  THEN corr(p1.total_orders, p2.total_orders) END AS orders
+ FROM {_P} p1 JOIN {_P} p2 ON p1.category_name < p2.category_name GROUP BY 1,2) x
+JOIN (SELECT category_name, COUNT(DISTINCT product_id) AS n, {_RATING} AS rating
+ FROM {_P} GROUP BY 1 HAVING COUNT(DISTINCT product_id)>5) c1 ON c1.category_name = x.a
+JOIN (SELECT category_name, COUNT(DISTINCT product_id) AS n, {_RATING} AS rating
+ FROM {_P} GROUP BY 1 HAVING COUNT(DISTINCT product_id)>5) c2 ON c2.category_name = x.b
 ORDER BY order_volume_correlation DESC NULLS FIRST, price_correlation DESC NULLS FIRST,
  1, 2 LIMIT 20""",
     "q_prod_3_1": f"""SELECT {_ranges("avg_review_score", _STARS, "No reviews")}

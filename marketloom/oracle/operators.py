@@ -99,12 +99,11 @@ JOIN int_customer_orders o ON a.customer_id=o.customer_id GROUP BY 1,2""",
     "join_theta_pairs": f"""SELECT c1.category_name, COUNT(*) AS later_categories,
  {isum("c2.products")} AS later_products
 FROM {_SIZES} c1 JOIN {_SIZES} c2 ON c1.category_name<c2.category_name GROUP BY 1""",
-    "join_pair_products": f"""SELECT c1.category_name AS category_1,
- c2.category_name AS category_2, COUNT(*) AS product_pairs
+    "join_pair_products": f"""SELECT c1.category_name AS category_1, COUNT(*) AS product_pairs
 FROM {_SIZES} c1 JOIN {_SIZES} c2 ON c1.category_name<c2.category_name
 JOIN mart_product_analytics p1 ON p1.category_name=c1.category_name
 JOIN mart_product_analytics p2 ON p2.category_name=c2.category_name
-GROUP BY 1,2 ORDER BY 1,2 LIMIT 20""",
+GROUP BY 1""",
     "join_totals": f"""SELECT i.order_id, {dbl("i.item_total")} AS item_total,
  {dbl("p.payment_total")} AS payment_total
 FROM (SELECT order_id, SUM(price_amount) AS item_total FROM stg_order_items GROUP BY 1) i

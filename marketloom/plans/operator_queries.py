@@ -29,7 +29,7 @@ from marketloom.functions import (
     unnest_zip,
 )
 from marketloom.operators.keyed import distinct_on, missing_parents, top_per_key, upsert
-from marketloom.operators.ranking import ntile, percent_ranks
+from marketloom.operators.ranking import ntile, percent_ranks, positions
 from marketloom.plans.dashboard_parts import down, over_groups, scalar_sum, up
 
 OPERATOR_QUERIES = {}
@@ -250,34 +250,37 @@ def _category_sizes(m) -> DataFrame:
     )
 
 
+def _later(m) -> DataFrame:
+    """Per category, how many categories sort after it and how many products
+    those have.  Prefix sums over range partitions; no pair is formed."""
+    sizes = _category_sizes(m)
+    totals = sizes.agg(F.count("*").alias("n"), F.sum("products").alias("p"))
+    ahead = positions(sizes, ["category_name"], "products", "theta").withColumnRenamed(
+        "before", "_products_before"
+    )
+    return positions(ahead, ["category_name"], label="theta").select(
+        "category_name",
+        "products",
+        (totals.select("n").scalar() - F.col("before") - 1).alias("later_categories"),
+        (totals.select("p").scalar() - F.col("_products_before") - F.col("products"))
+        .alias("later_products"),
+    ).filter("later_categories > 0")
+
+
 @query
 def join_theta_pairs(m, as_of) -> DataFrame:
     """Per category, the categories that sort after it (``c1.name < c2.name``):
-    how many, how many products they have.  Suffix sums over the grouped
-    frame (one row per category); no pair is formed."""
-    after = W.orderBy("category_name").rowsBetween(1, W.unboundedFollowing)
-    return _category_sizes(m).select(
-        "category_name",
-        F.count("*").over(after).alias("later_categories"),
-        F.sum("products").over(after).alias("later_products"),
-    ).filter("later_categories > 0")
+    how many, how many products they have."""
+    return _later(m).drop("products")
 
 
 @query
 def join_pair_products(m, as_of) -> DataFrame:
-    """First 20 category pairs with the size of their product cross product,
-    which is the product of the two counts."""
-    sizes = _category_sizes(m)
-    # the 20 first pairs by (name, name) start with one of the 20 first names
-    left = sizes.orderBy("category_name").limit(20).select(
-        F.col("category_name").alias("category_1"), F.col("products").alias("_n1")
-    )
-    return (
-        sizes.join(F.broadcast(left), F.col("category_1") < F.col("category_name"))
-        .select("category_1", F.col("category_name").alias("category_2"),
-                (F.col("_n1") * F.col("products")).alias("product_pairs"))
-        .orderBy("category_1", "category_2")
-        .limit(20)
+    """Per category, the pairs of its products with those of all categories that
+    sort after it: the product of two counts."""
+    return _later(m).select(
+        F.col("category_name").alias("category_1"),
+        (F.col("products") * F.col("later_products")).alias("product_pairs"),
     )
 
 

@@ -143,19 +143,20 @@ def q_prod_2_3(m, as_of) -> DataFrame:
     )
 
 
-def q_prod_2_4(m, as_of) -> DataFrame:
+def q_prod_2_4(m, as_of, limit: int = 20) -> DataFrame:
     """Pairs of categories with the correlation over all pairs of their
-    products, top 20.
+    products, the top ``limit``.
 
     Over a full cross product two variables are uncorrelated by construction:
     the covariance is exactly 0, so the correlation is 0, or NULL when a side
     has no variance.  Variances per category are enough, no product pair is
     ever formed.
 
-    Only the first 20 names of each of the four no-variance classes can be the
-    left side of a top-20 pair: replacing the left name by any of 20 earlier
-    ones of the same class gives 20 better pairs.  The left side is therefore
-    at most 80 rows, and the pairs number at most 80 x categories."""
+    Only the first ``limit`` names of each of the four no-variance classes can be
+    the left side of a reported pair: replacing the left name by any of ``limit``
+    earlier ones of the same class gives as many better pairs.  The left side is
+    therefore at most 4 x ``limit`` rows, and the pairs that times the
+    categories."""
     flat = lambda c: (
         (F.min(c).eqNullSafe(F.max(c))) | (F.count(c) == 0)
     )
@@ -174,7 +175,7 @@ def q_prod_2_4(m, as_of) -> DataFrame:
     first = W.partitionBy("flat_price", "flat_orders").orderBy("category_name")
     left = (
         stats.withColumn("_r", F.row_number().over(first))
-        .filter("_r <= 20")
+        .filter(F.col("_r") <= limit)
         .drop("_r")
     )
     a, b = left.alias("a"), stats.alias("b")
@@ -200,7 +201,7 @@ def q_prod_2_4(m, as_of) -> DataFrame:
             "category_1",
             "category_2",
         )
-        .limit(20)
+        .limit(limit)
     )
 
 
