@@ -16,6 +16,10 @@ from marketloom.sources.landing import PREFIX, land_raw_text
 from marketloom.sources.tables import save_table
 
 
+class LandingError(Exception):
+    """A declared table could not be landed; the run stops before building."""
+
+
 class QualityError(RuntimeError):
     """A rule of severity 'error' has failing rows; nothing was published."""
 
@@ -64,16 +68,22 @@ def run_pipeline(
     rules: list[Rule] | None = None,
     database: str | None = None,
     threads: int = 4,
+    allow_unlanded: bool = False,
 ) -> Run:
     """Build every model into a folder of this run and publish it.
 
     Publishing points names at the new folder, so readers switch at once and
-    no data is copied; a failed check leaves the previous run in place."""
+    no data is copied; a failed check leaves the previous run in place.  So does
+    a table that could not be landed, unless ``allow_unlanded`` lets the run
+    read it from the source."""
     run_dir = f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
     landed = None
     if land:
         landed = land_raw_text(spark, sources.__getitem__, f"{run_dir}/raw")
-        ok = {r["table"] for r in landed.collect() if r["status"] == "ok"}
+        outcome = {r["table"]: r["status"] for r in landed.collect()}
+        ok = {t for t, status in outcome.items() if status == "ok"}
+        if len(ok) < len(outcome) and not allow_unlanded:
+            raise LandingError(f"not landed: {', '.join(sorted(outcome.keys() - ok))}")
         sources = LandedText(spark, f"{run_dir}/raw", sources, ok)
 
     paths: dict[str, str] = {}
@@ -90,7 +100,7 @@ def run_pipeline(
         _Named(models), all_rules() if rules is None else rules, f"timestamp_ntz'{now}'"
     )
     quality = save_table(report, f"{run_dir}/quality")
-    broken = quality.filter("severity = 'error' and failing_rows > 0").limit(20).collect()
+    broken = quality.filter("severity = 'error' and failing_rows > 0").collect()
     if broken:
         names = ", ".join(f"{r['model']}.{r['column']} {r['test']}" for r in broken)
         raise QualityError(f"not published: {names}")

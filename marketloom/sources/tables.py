@@ -2,8 +2,9 @@
 scratch tables that cut lineage.
 
 Scratch tables go to the folder the cluster names in ``spark.checkpoint.dir``
-(shared storage, so they survive the loss of an executor).  Only when the
-setting is absent, as in unit tests, a temporary folder is used."""
+(shared storage, so they survive the loss of an executor).  Where the setting is
+absent, a local master, as in unit tests, uses a temporary folder; a cluster is
+refused, because executors would write to disks of their own."""
 
 from __future__ import annotations
 
@@ -19,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Root folder for scratch tables of this application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _fallback:
             _fallback.append(tempfile.mkdtemp(prefix="marketloom-"))
         base = _fallback[0]
