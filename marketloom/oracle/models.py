@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketloom.functions.buckets import BRAZIL_STATES
 from marketloom.oracle.base import (
     AS_OF,
     avg,
@@ -17,7 +18,8 @@ from marketloom.oracle.base import (
     wavg,
 )
 
-_STATE = "substr('ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO', 2*{k}+1, 2)"
+_CODES = ", ".join(f"'{code}'" for code in BRAZIL_STATES)
+_STATE = f"([{_CODES}])[{{k}} + 1]"
 _ZIP = "lpad(CAST(1000+{k} AS VARCHAR), 5, '0')"
 _CITY = "concat(lower(r_name), ' ', replace(lower(n_name), '_', '-'))"
 _CENTS = "CAST(round(l_extendedprice*100) AS BIGINT)//100"

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from marketloom.functions.buckets import BRAZIL_STATES
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -46,10 +48,7 @@ def parent(model: str, column: str) -> tuple:
 
 
 # The accepted values of the declared tests.
-STATES = values(
-    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
-    "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
-)
+STATES = values(*BRAZIL_STATES)
 STATUSES = values(
     "delivered", "shipped", "canceled", "unavailable", "invoiced", "processing",
     "approved", "created",
@@ -61,6 +60,7 @@ GRADES = values("excellent", "good", "average", "poor")
 FREQUENCIES = values("high_frequency", "medium_frequency", "low_frequency")
 NPS = values("promoter", "passive", "detractor")
 
+# The declared tests by model and column.
 COLUMN_TESTS = {
     # source declarations
     "customers": {"customer_id": [U, NN]},

@@ -7,9 +7,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.functions.buckets import BRAZIL_STATES
 from marketloom.operators.ranking import number_within
 
-_STATE = "substr('ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO', 2*{k}+1, 2)"
+_CODES = ", ".join(f"'{code}'" for code in BRAZIL_STATES)
+_STATE = f"element_at(array({_CODES}), cast({{k}} as int) + 1)"
 _ZIP = "lpad(cast(1000+{k} as string), 5, '0')"
 _CITY = "concat(lower(r_name), ' ', replace(lower(n_name), '_', '-'))"
 _CENTS = "cast(round(l_extendedprice*100) as bigint) div 100"

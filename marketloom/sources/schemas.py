@@ -7,23 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
+_KINDS = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _schema(ddl: str) -> T.StructType:
+    """A schema from DDL (Spark's own parser needs a running session)."""
     out = T.StructType()
-    for part in ddl.split(";"):
+    for part in ddl.split(", "):
         name, kind = part.split()
         out.add(name, _KINDS[kind])
     return out
 
 
-_KINDS = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "d": T.DoubleType(),
-    "m": T.DecimalType(10, 2),
-    "t": T.TimestampNTZType(),
-}
-
-
 @dataclass(frozen=True)
 class SourceTable:
     """One declared source: file name, column types, CSV peculiarities."""
@@ -44,8 +45,8 @@ SOURCES = {
             "customers",
             "olist_customers_dataset.csv",
             _schema(
-                "customer_id s;customer_unique_id s;customer_zip_code_prefix s;"
-                "customer_city s;customer_state s"
+                "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+                "customer_city string, customer_state string"
             ),
             zip_column="customer_zip_code_prefix",
         ),
@@ -53,8 +54,8 @@ SOURCES = {
             "geolocation",
             "olist_geolocation_dataset.csv",
             _schema(
-                "geolocation_zip_code_prefix s;geolocation_lat d;geolocation_lng d;"
-                "geolocation_city s;geolocation_state s"
+                "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
+                "geolocation_city string, geolocation_state string"
             ),
             zip_column="geolocation_zip_code_prefix",
         ),
@@ -62,25 +63,25 @@ SOURCES = {
             "order_items",
             "olist_order_items_dataset.csv",
             _schema(
-                "order_id s;order_item_id i;product_id s;seller_id s;"
-                "shipping_limit_date t;price m;freight_value m"
+                "order_id string, order_item_id int, product_id string, seller_id string, "
+                "shipping_limit_date timestamp_ntz, price decimal(10,2), freight_value decimal(10,2)"
             ),
         ),
         SourceTable(
             "order_payments",
             "olist_order_payments_dataset.csv",
             _schema(
-                "order_id s;payment_sequential i;payment_type s;"
-                "payment_installments i;payment_value m"
+                "order_id string, payment_sequential int, payment_type string, "
+                "payment_installments int, payment_value decimal(10,2)"
             ),
         ),
         SourceTable(
             "order_reviews",
             "olist_order_reviews_dataset.csv",
             _schema(
-                "review_id s;order_id s;review_score i;review_comment_title s;"
-                "review_comment_message s;review_creation_date t;"
-                "review_answer_timestamp t"
+                "review_id string, order_id string, review_score int, review_comment_title string, "
+                "review_comment_message string, review_creation_date timestamp_ntz, "
+                "review_answer_timestamp timestamp_ntz"
             ),
             free_text=True,
         ),
@@ -88,33 +89,33 @@ SOURCES = {
             "orders",
             "olist_orders_dataset.csv",
             _schema(
-                "order_id s;customer_id s;order_status s;order_purchase_timestamp t;"
-                "order_approved_at t;order_delivered_carrier_date t;"
-                "order_delivered_customer_date t;order_estimated_delivery_date t"
+                "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz, "
+                "order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
+                "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz"
             ),
         ),
         SourceTable(
             "products",
             "olist_products_dataset.csv",
             _schema(
-                "product_id s;product_category_name s;product_name_lenght i;"
-                "product_description_lenght i;product_photos_qty i;"
-                "product_weight_g d;product_length_cm d;product_height_cm d;"
-                "product_width_cm d"
+                "product_id string, product_category_name string, product_name_lenght int, "
+                "product_description_lenght int, product_photos_qty int, "
+                "product_weight_g double, product_length_cm double, product_height_cm double, "
+                "product_width_cm double"
             ),
         ),
         SourceTable(
             "sellers",
             "olist_sellers_dataset.csv",
             _schema(
-                "seller_id s;seller_zip_code_prefix s;seller_city s;seller_state s"
+                "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"
             ),
             zip_column="seller_zip_code_prefix",
         ),
         SourceTable(
             "product_categories",
             "product_category_name_translation.csv",
-            _schema("product_category_name s;product_category_name_english s"),
+            _schema("product_category_name string, product_category_name_english string"),
         ),
     ]
 }
