@@ -18,6 +18,7 @@ from marketloom.oracle.base import (
     ravg,
     rat,
 )
+from marketloom.plans.dashboard_parts import PRICE_RANGES, REVIEW_RANGES
 
 MONTH = "1995-03-01"
 
@@ -42,21 +43,7 @@ def _ranges(x: str, steps, otherwise: str) -> str:
     return f"CASE{body} ELSE '{otherwise}' END"
 
 
-_PRICE = [
-    (None, "50", "Under $50"),
-    ("50", "99.99", "$50-$99"),
-    ("100", "249.99", "$100-$249"),
-    ("250", "499.99", "$250-$499"),
-    ("500", "999.99", "$500-$999"),
-]
-_STARS = [
-    ("1", "1.9", "1.0-1.9"),
-    ("2", "2.9", "2.0-2.9"),
-    ("3", "3.4", "3.0-3.4"),
-    ("3.5", "3.9", "3.5-3.9"),
-    ("4", "4.4", "4.0-4.4"),
-    ("4.5", "5", "4.5-5.0"),
-]
+_PRICE, _STARS = PRICE_RANGES, REVIEW_RANGES
 _C = "mart_customer_analytics"
 _P = "mart_product_analytics"
 _S = "mart_sellers"

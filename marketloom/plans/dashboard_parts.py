@@ -44,6 +44,7 @@ def up(c: str) -> Column:
     return F.col(c).asc_nulls_last()
 
 
+# The ranges and labels of the reports.
 PRICE_RANGES = [
     (None, 50, "Under $50"),
     (50, "99.99", "$50-$99"),
