@@ -84,6 +84,24 @@ def _key_rule(m, rule: Rule) -> DataFrame:
     raise ValueError(f"unknown rule kind {rule.kind!r}")
 
 
+def failing_rows(m, rule: Rule, now: str) -> DataFrame:
+    """The rows of the rule's model that break it, for a look at the cause."""
+    df = m[rule.model]
+    if rule.kind in ROW_KINDS:
+        return df.filter(_fails(rule, now))
+    if rule.kind == "relationships":
+        orphans = missing_parents(df, rule.column, m[rule.args[0]], rule.args[1])
+        return df.join(orphans, df[rule.column] == orphans["_k"], "left_semi")
+    if rule.kind in ("unique", "unique_combination"):
+        keys = [k.strip() for k in rule.column.split(",")]
+        twice = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n"))
+        twice = twice.filter("_n > 1")
+        if rule.kind == "unique":
+            twice = twice.filter(F.col(f"_{keys[0]}").isNotNull())
+        return df.join(twice, [df[k].eqNullSafe(twice[f"_{k}"]) for k in keys], "left_semi")
+    raise ValueError(f"a {rule.kind} rule is about the table, not about rows")
+
+
 def evaluate(m, rules: list[Rule], now: str) -> DataFrame:
     """One row per rule.  ``now`` is the reference time as SQL text."""
     parts = []

@@ -287,9 +287,13 @@ NON_EMPTY = [
 ]
 
 
-def _severity(kind: str, variant: str) -> str:
-    """Broken keys stop publishing; everything else is reported."""
-    return "error" if kind == "unique" and variant == "declared" else "warn"
+def _severity(kind: str, variant: str, beside: list[str]) -> str:
+    """Broken keys (repeated or missing) stop publishing; everything else is
+    reported, relationships too: some are declared from parent to child, or miss
+    categories that the source itself misses.  ``beside``: all kinds of tests on the
+    column."""
+    key = kind == "unique" or kind == "not_null" and "unique" in beside
+    return "error" if key and variant == "declared" else "warn"
 
 
 def all_rules() -> list[Rule]:
@@ -300,7 +304,7 @@ def all_rules() -> list[Rule]:
                 for kind, *args in checks:
                     out.append(
                         Rule(kind, model, column, tuple(args), variant,
-                             _severity(kind, variant))
+                             _severity(kind, variant, [k for k, *_ in checks]))
                     )
     out += [Rule("equal_rowcount", a, "*", (b,)) for a, b in SAME_ROWS.items()]
     out += [Rule("non_empty_table", a, "*") for a in NON_EMPTY]

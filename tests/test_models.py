@@ -5,7 +5,12 @@ import pytest
 from marketloom.plans.dashboard_parts import PRICE_RANGES
 from marketloom.plans.customer_dashboard import q_cust_3_2
 from marketloom.plans.product_dashboard import q_nov_products, q_prod_2_4
-from marketloom.plans.quality import dq_order_dates, dq_revenue_integrity, evaluate
+from marketloom.plans.quality import (
+    dq_order_dates,
+    dq_revenue_integrity,
+    evaluate,
+    failing_rows,
+)
 from marketloom.plans.rules import Rule, all_rules
 from marketloom.plans.warehouse import DEPENDS, MODELS, Warehouse
 from marketloom.sources.schemas import SOURCES
@@ -193,3 +198,19 @@ def test_rule_counts():
     assert kinds["unique"] == 17 and kinds["not_null"] == 101
     assert kinds["expression_row"] == 52 and kinds["relationships"] == 15
     assert isinstance(all_rules()[0], Rule) and len(PRICE_RANGES) == 5
+
+
+def test_failing_rows_agree_with_the_counts(spark):
+    data = {
+        "t": spark.createDataFrame(
+            [(1, "x", 5), (1, "y", -1), (None, "x", 2), (None, "z", None), (7, "", 3)],
+            "id int, name string, n int"),
+        "p": spark.createDataFrame([("x",), ("y",)], "name string"),
+    }
+    rules = [
+        Rule("unique", "t", "id"), Rule("unique_combination", "t", "id, name"),
+        Rule("not_null", "t", "id"), Rule("positive", "t", "n"),
+        Rule("not_empty_string", "t", "name"), Rule("relationships", "t", "name", ("p", "name")),
+    ]
+    got = [failing_rows(data, r, "current_timestamp()").count() for r in rules]
+    assert got == [2, 0, 2, 1, 1, 2]
