@@ -12,8 +12,9 @@ are one class from the start and compared once.
    set alone come first, so only sets with ``need`` shared cells stay, with
    few, rare cells each.
 3. Tiles hold the sets that share such a cell and lie in a size band or its
-   upper neighbour.  Inside a tile, sizes and the bits that differ between
-   hashed bitmap signatures bound the intersection from above.
+   upper neighbour.  Inside a tile, sizes, the cells before the common one and the
+   bits that differ between hashed bitmap signatures bound the intersection from
+   above.
 4. Pairs that pass are checked on the sorted shingle arrays.  First every set
    of a tile is paired with two leaders only; what these links connect is not
    compared again, and all other pairs of the tile follow.  A large group of near
@@ -45,7 +46,7 @@ CELL_BITS = 48
 SIGNATURE_BITS = 512
 #: Shingles of one counting task, and shingles gathered before a map task hands on.
 RANGE_SHINGLES = 2_000_000
-FLUSH_SHINGLES = 2_000_000
+FLUSH_SHINGLES = 1_000_000
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -207,7 +208,8 @@ def by_group(batches, key: list[str], use):
 
 
 def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """(cell, key, n): the cells in the prefix of each set that are shared."""
+    """(cell, key, n, place): the shared cells in the prefix of each set, and how
+    many of its cells come before."""
 
     def to_buckets(batches):
         for batch in batches:
@@ -240,12 +242,12 @@ def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) ->
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         lengths = np.diff(np.r_[starts, len(keys)])
         rank = np.arange(len(keys)) - np.repeat(starts, lengths)
-        alone = m[own] - np.repeat(lengths, lengths)
-        keep = rank < n[own] - needed(n[own], percent) + 1 - alone
+        place = m[own] - np.repeat(lengths, lengths) + rank  # after the cells of one set alone
+        keep = place < n[own] - needed(n[own], percent) + 1
         if keep.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cells[keep].astype(np.int64)), pa.array(keys[keep]), pa.array(n[own][keep])],
-                ["cell", "key", "n"],
+                [pa.array(x[keep]) for x in (cells.astype(np.int64), keys, n[own], place)],
+                ["cell", "key", "n", "place"],
             )
 
     sizes = sets.select("key", "n", "m").mapInArrow(
@@ -257,7 +259,7 @@ def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) ->
     )
     placed = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(
-        lambda batches: by_group(batches, ["bucket"], prefixes), "cell long, key long, n long"
+        lambda batches: by_group(batches, ["bucket"], prefixes), "cell long, key long, n long, place long"
     )
 
 
@@ -281,48 +283,96 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, tex
     return source.mapInArrow(run, "key long, n long, signature binary, shingles binary")
 
 
-def bound(n: np.ndarray, bits: np.ndarray, n0: int, bits0: np.ndarray) -> np.ndarray:
-    """Upper bound of the intersection with a set: every differing bit of the
+def bound(n: np.ndarray, m: np.ndarray, bits: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bounds of intersections, pair by pair: every differing bit of the
     signatures needs a shingle of its own that is not in both sets."""
-    differ = np.bitwise_count(bits ^ bits0).sum(axis=1, dtype=np.int64)
-    return np.minimum(np.minimum(n, n0), (n + n0 - differ) // 2)
-
-
-def _tile_pairs(rows: list[dict], percent: int, leaders_only: bool):
-    """Pairs of a tile that may link and are not known to be connected."""
-    rows.sort(key=lambda r: (r["n"], r["key"]))
-    keys = np.array([r["key"] for r in rows], dtype=np.int64)
-    n = np.array([r["n"] for r in rows], dtype=np.int64)
-    home = np.array([r["home"] for r in rows])
-    label = np.array([r["label"] for r in rows], dtype=np.int64)
-    if len(rows) < 2 or not home.any() or (label == label[0]).all():
-        return
-    bits = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint64).reshape(len(rows), -1)
-    firsts = sorted({0, int(np.count_nonzero(home)) // 2}) if leaders_only else range(len(rows) - 1)
-    for i in firsts:
-        other = np.arange(len(rows)) > i if not leaders_only else np.arange(len(rows)) != i
-        other &= (home | home[i]) & (label != label[i])
-        other = np.flatnonzero(other)
-        if not len(other):
-            continue
-        most = bound(n[other], bits[other], n[i], bits[i])
-        other = other[100 * most >= percent * (n[other] + n[i] - most)]
-        if len(other):
-            a, b = np.minimum(keys[i], keys[other]), np.maximum(keys[i], keys[other])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    differ = np.bitwise_count(bits ^ others).sum(axis=1, dtype=np.int64)
+    return np.minimum(np.minimum(n, m), (n + m - differ) // 2)
+
+
+def tile_pairs(tile: dict[str, np.ndarray], percent: int, leaders_only: bool):
+    """Index pairs within the tiles (rows of equal ``group``, by size) that may
+    link and are not known to be connected.
+
+    Two sets whose first common cell is the tile's have no more in common than
+    what comes from there on in either; with an earlier common cell they meet in
+    that cell's tile too, so it is enough to pass once."""
+    group, n, place, label, home = (tile[c] for c in ("group", "n", "place", "label", "home"))
+    bits = tile["bits"]
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.r_[start, len(group)])
+
+    def pairs():
+        if leaders_only:
+            homes = np.add.reduceat(home.astype(np.int64), start)
+            own = np.repeat(np.arange(len(start)), size)
+            rows = np.arange(len(group))
+            for leader in (start, start + homes // 2):
+                yield leader[own], rows
+        else:
+            i = np.arange(len(group))
+            for step in range(1, int(size.max())):
+                i = i[i + step < len(group)]
+                i = i[group[i + step] == group[i]]
+                yield i, i + step
+
+    for i, j in pairs():
+        ok = (label[i] != label[j]) & (home[i] | home[j])
+        i, j = i[ok], j[ok]
+        total = n[i] + n[j]
+        most = np.minimum(n[i] - place[i], n[j] - place[j])
+        ok = 100 * most >= percent * (total - most)
+        i, j, total, most = i[ok], j[ok], total[ok], most[ok]
+        most = np.minimum(most, bound(n[i], n[j], bits[i], bits[j]))
+        ok = 100 * most >= percent * (total - most)
+        yield i[ok], j[ok]
 
 
 def _pairs(tiles: DataFrame, labels: DataFrame | None, percent: int, leaders_only: bool) -> DataFrame:
     named = tiles.withColumn("label", F.col("key")) if labels is None else tiles.join(
         labels.select(F.col("node").alias("key"), F.col("root").alias("label")), "key", "left"
     ).withColumn("label", F.coalesce("label", "key"))
-    placed = named.repartition("cell", "band").sortWithinPartitions("cell", "band")
-    return placed.mapInArrow(
-        lambda batches: by_group(
-            batches, ["cell", "band"], lambda rows: _tile_pairs(rows, percent, leaders_only)
-        ),
-        "a long, b long",
-    ).distinct()
+
+    def pairs_of(batch: pa.RecordBatch):
+        column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        cell, band, key = column("cell"), column("band"), column("key")
+        first = np.r_[True, (cell[1:] != cell[:-1]) | (band[1:] != band[:-1])]
+        group = np.cumsum(first) - 1
+        # a tile of one set, or of sets that are known to be connected, is done
+        label, start = column("label"), np.flatnonzero(first)
+        many = (np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start))[group]
+        bits = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint64)
+        tile = {c: column(c)[many] for c in ("n", "place", "label", "home")}
+        tile |= {"group": group[many], "bits": bits.reshape(len(key), -1)[many]}
+        key = key[many]
+        if not len(key):
+            return
+        found = [
+            np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
+            for i, j in tile_pairs(tile, percent, leaders_only)
+        ]
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches):
+        """Whole tiles, many at a time."""
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= 60_000:
+                rows = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                cell, band = rows.column("cell").to_numpy(), rows.column("band").to_numpy()
+                turn = np.flatnonzero((cell[1:] != cell[:-1]) | (band[1:] != band[:-1]))
+                cut = int(turn[-1]) + 1 if len(turn) else 0
+                if cut:
+                    yield from pairs_of(rows.slice(0, cut))
+                waiting = [rows.slice(cut)]
+        if sum(map(len, waiting)):
+            yield from pairs_of(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+
+    placed = named.repartition("cell", "band").sortWithinPartitions("cell", "band", "n", "key")
+    columns = ["cell", "band", "home", "key", "n", "place", "signature", "label"]
+    return placed.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -370,9 +420,9 @@ def rooted_rows(
     band = F.floor(F.ln("n") / math.log(100 / percent)).cast("int")
     homes = prefixes.join(candidates.select("key", "signature"), "key").withColumn("own", band)
     tiles = homes.withColumn(
-        "place", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")),
+        "tile", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")),
                                    F.struct((F.col("own") - 1).alias("band"), F.lit(False).alias("home"))))
-    ).select("cell", "place.band", "place.home", "key", "n", "signature")
+    ).select("cell", "tile.band", "tile.home", "key", "n", "place", "signature")
     tiles = write_scratch(tiles, "tiles")
     first = write_scratch(_verified(_pairs(tiles, None, percent, True), candidates, percent), "links")
     labels = write_scratch(connected_components(first), "labels")
