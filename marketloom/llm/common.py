@@ -14,6 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 #: Broadcast at most this many rows of keys; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
+#: Bytes of rows handed to a Python worker at a time; several copies of them are
+#: in memory at once there.
+ARROW_BYTES = "8m"
 
 
 def text_bytes(column: str | Column) -> Column:
@@ -61,7 +64,9 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def reach_workers(spark) -> None:
     """Let Python workers import this package from where the driver has it (a
-    cluster without that folder gets it as a file of ``--py-files``)."""
+    cluster without that folder gets it as a file of ``--py-files``), and hand
+    texts to them in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -116,7 +116,7 @@ class Chunks(dict):
 class Encoder:
     """Token ids of whole texts; keeps the ids of at most about ``remember`` chunks."""
 
-    def __init__(self, path: str | None = None, remember: int = 1_000_000):
+    def __init__(self, path: str | None = None, remember: int = 600_000):
         self.remember = remember
         self.chunks = Chunks(path)
         self.separator = as_bytes([SEPARATOR])
