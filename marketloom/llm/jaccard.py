@@ -16,8 +16,9 @@ are one class from the start and compared once.
    bits that differ between hashed bitmap signatures bound the intersection from
    above.
 4. Pairs that pass are checked on the sorted shingle arrays.  First every set
-   of a tile is paired with two leaders only; what these links connect is not
-   compared again, and all other pairs of the tile follow.  A large group of near
+   meets two leaders only, those with the fewest rare cells, in its widest tiles;
+   what these links connect is not compared again, and all other pairs of the
+   tiles follow.  A large group of near
    copies thus costs about two pairs per member, and no link between different
    components can be missed.
 
@@ -44,6 +45,8 @@ from marketloom.sources.tables import write_scratch
 CELL_SHIFT = np.uint64(16)
 CELL_BITS = 48
 SIGNATURE_BITS = 512
+#: Tiles in which a set meets the leaders.
+WIDE_CELLS = 2
 #: Shingles of one counting task, and shingles gathered before a map task hands on.
 RANGE_SHINGLES = 2_000_000
 FLUSH_SHINGLES = 1_000_000
@@ -208,8 +211,9 @@ def by_group(batches, key: list[str], use):
 
 
 def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """(cell, key, n, place): the shared cells in the prefix of each set, and how
-    many of its cells come before."""
+    """(cell, key, n, place, wide): the shared cells in the prefix of each set, how
+    many of its cells come before, and whether it is one of the last, which most
+    sets share."""
 
     def to_buckets(batches):
         for batch in batches:
@@ -244,10 +248,12 @@ def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) ->
         rank = np.arange(len(keys)) - np.repeat(starts, lengths)
         place = m[own] - np.repeat(lengths, lengths) + rank  # after the cells of one set alone
         keep = place < n[own] - needed(n[own], percent) + 1
+        kept = np.add.reduceat(keep.astype(np.int64), starts)  # a prefix of each set's cells
+        wide = rank >= np.repeat(kept - WIDE_CELLS, lengths)
         if keep.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep]) for x in (cells.astype(np.int64), keys, n[own], place)],
-                ["cell", "key", "n", "place"],
+                [pa.array(x[keep]) for x in (cells.astype(np.int64), keys, n[own], place, wide)],
+                ["cell", "key", "n", "place", "wide"],
             )
 
     sizes = sets.select("key", "n", "m").mapInArrow(
@@ -259,7 +265,7 @@ def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) ->
     )
     placed = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return placed.mapInArrow(
-        lambda batches: by_group(batches, ["bucket"], prefixes), "cell long, key long, n long, place long"
+        lambda batches: by_group(batches, ["bucket"], prefixes), "cell long, key long, n long, place long, wide boolean"
     )
 
 
@@ -304,11 +310,12 @@ def tile_pairs(tile: dict[str, np.ndarray], percent: int, leaders_only: bool):
 
     def pairs():
         if leaders_only:
-            homes = np.add.reduceat(home.astype(np.int64), start)
+            # the sets with the fewest rare cells: the common core of near copies
             own = np.repeat(np.arange(len(start)), size)
-            rows = np.arange(len(group))
-            for leader in (start, start + homes // 2):
-                yield leader[own], rows
+            typical = np.lexsort((place, group))
+            rows = np.flatnonzero(tile["wide"])
+            for leader in (typical[start], typical[np.minimum(start + 1, start + size - 1)]):
+                yield leader[own[rows]], rows
         else:
             i = np.arange(len(group))
             for step in range(1, int(size.max())):
@@ -320,7 +327,9 @@ def tile_pairs(tile: dict[str, np.ndarray], percent: int, leaders_only: bool):
         ok = (label[i] != label[j]) & (home[i] | home[j])
         i, j = i[ok], j[ok]
         total = n[i] + n[j]
-        most = np.minimum(n[i] - place[i], n[j] - place[j])
+        most = np.minimum(n[i], n[j])
+        if not leaders_only:
+            most = np.minimum(n[i] - place[i], n[j] - place[j])
         ok = 100 * most >= percent * (total - most)
         i, j, total, most = i[ok], j[ok], total[ok], most[ok]
         most = np.minimum(most, bound(n[i], n[j], bits[i], bits[j]))
@@ -342,7 +351,7 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, percent: int, leaders_onl
         label, start = column("label"), np.flatnonzero(first)
         many = (np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start))[group]
         bits = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint64)
-        tile = {c: column(c)[many] for c in ("n", "place", "label", "home")}
+        tile = {c: column(c)[many] for c in ("n", "place", "label", "home", "wide")}
         tile |= {"group": group[many], "bits": bits.reshape(len(key), -1)[many]}
         key = key[many]
         if not len(key):
@@ -371,7 +380,7 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, percent: int, leaders_onl
             yield from pairs_of(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
 
     placed = named.repartition("cell", "band").sortWithinPartitions("cell", "band", "n", "key")
-    columns = ["cell", "band", "home", "key", "n", "place", "signature", "label"]
+    columns = ["cell", "band", "home", "key", "n", "place", "wide", "signature", "label"]
     return placed.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
@@ -422,7 +431,7 @@ def rooted_rows(
     tiles = homes.withColumn(
         "tile", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")),
                                    F.struct((F.col("own") - 1).alias("band"), F.lit(False).alias("home"))))
-    ).select("cell", "tile.band", "tile.home", "key", "n", "place", "signature")
+    ).select("cell", "tile.band", "tile.home", "key", "n", "place", "wide", "signature")
     tiles = write_scratch(tiles, "tiles")
     first = write_scratch(_verified(_pairs(tiles, None, percent, True), candidates, percent), "links")
     labels = write_scratch(connected_components(first), "labels")
