@@ -14,8 +14,9 @@ window whose word sequence also starts anywhere else in the corpus.
    sums how often each state occurs, and streams the shard's segments through it:
    the matching statistics say, at every word, how long a match ends there and
    how often it occurs.  Matches of ``window`` words found twice or more mark
-   windows.  An anchor with very many distinct segments is salted by
-   the hash of the window, so no shard outgrows a task.
+   windows.  An anchor with very many distinct segments would outgrow a task:
+   each of its windows is one row with a digest of its words, and windows are
+   counted by digest in sums that merge, so no group is gathered.
 4. Marked windows go back to the documents that hold the segments.
 
 A shard's automaton is sent to the one task that holds the segments which can
@@ -25,7 +26,8 @@ square of the corpus.
 Nulls: a null text has no words; a null id is carried.  Texts shorter than a
 window keep all words.  Repeated rows are copies of each other.  Empty tables give
 no rows.  Only the id and the text are read, so extra columns of any name do no
-harm.  Segments are found by 64-bit hashes; windows are compared word by word."""
+harm.  Segments are found by 64-bit hashes; windows are compared word by word, those
+of anchors with very many segments by 128-bit digests."""
 
 from __future__ import annotations
 
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from marketloom.llm.common import text_bytes
+from marketloom.llm.common import broadcast_if_small, text_bytes
 from marketloom.llm.decontaminate import merge
 from marketloom.llm.jaccard import by_group
 from marketloom.llm.words import gram_hashes, mix, word_hashes, word_spans
@@ -47,11 +49,13 @@ from marketloom.sources.tables import write_scratch
 WINDOW = 35
 ANCHOR = 8
 #: Segments of one counting task; words of an automaton; distinct segments of an
-#: anchor beyond which it is salted; segments gathered before a map task hands on.
+#: anchor beyond which its windows are counted one by one; segments and windows
+#: gathered before a map task hands on.
 RANGE_SEGMENTS = 500_000
 SHARD_WORDS = 20_000
 ANCHOR_SEGMENTS = 1_000
 FLUSH_SEGMENTS = 400_000
+FLUSH_WINDOWS = 50_000
 
 _PLACE_BITS = 24
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -241,43 +245,82 @@ class SuffixAutomaton:
         return ends
 
 
-def _reference(docs: DataFrame, repeated: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """Texts of the distinct segments whose anchor has several, by (anchor, salt)."""
-    wanted = (
-        repeated.filter("rep and kinds > 1")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("anchor", "seg", "start", "windows", "copies", "kinds")).alias("parts"))
+def _texts(docs: DataFrame, segments: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts with those of ``segments`` that are taken from them (``parts``)."""
+    wanted = segments.groupBy("row").agg(
+        F.collect_list(F.struct("anchor", "seg", "start", "windows", "copies")).alias("parts")
     )
-    source = docs.select(
-        _row(id_col, text_col).alias("row"), text_bytes(text_col).alias("text")
-    ).join(wanted, "row")
+    source = docs.select(_row(id_col, text_col).alias("row"), text_bytes(text_col).alias("text"))
+    return source.join(wanted, "row").select("text", "parts")
+
+
+def _reference(docs: DataFrame, repeated: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """Texts of the distinct segments whose anchor has several, at most ANCHOR_SEGMENTS."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
                 _, starts, ends = word_spans(text)
-                hashed = None
                 for p in parts:
-                    salts = -(-p["kinds"] // ANCHOR_SEGMENTS)
-                    if salts == 1:
-                        runs = [(0, 0, p["windows"])]
-                    else:
-                        if hashed is None:
-                            hashed = gram_hashes(word_hashes(text), window)
-                        own = hashed[p["start"] : p["start"] + p["windows"]] % np.uint64(salts)
-                        cuts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]).tolist()
-                        runs = [(int(own[a]), a, b) for a, b in zip(cuts, [*cuts[1:], len(own)])]
-                    for salt, a, b in runs:
-                        s, e = starts[p["start"] + a], ends[p["start"] + b + window - 2]
-                        rows.append((p["anchor"], salt, p["seg"], a, p["copies"], text[s:e]))
+                    s, e = starts[p["start"]], ends[p["start"] + p["windows"] + window - 2]
+                    rows.append((p["anchor"], p["seg"], p["copies"], text[s:e]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in zip(*rows)], ["anchor", "salt", "seg", "off", "copies", "words"]
+                    [pa.array(c) for c in zip(*rows)], ["anchor", "seg", "copies", "words"]
                 )
 
-    return source.select("text", "parts").mapInArrow(
-        run, "anchor long, salt long, seg long, off long, copies long, words binary"
+    several = repeated.filter(F.col("rep") & F.col("kinds").between(2, ANCHOR_SEGMENTS))
+    return _texts(docs, several, id_col, text_col).mapInArrow(
+        run, "anchor long, seg long, copies long, words binary"
+    )
+
+
+def _windows(docs: DataFrame, many: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """Every window of the distinct segments ``many``, its words as a digest."""
+
+    def packed(rows: list[tuple]):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in zip(*rows)], ["anchor", "seg", "off", "copies", "digest"]
+        )
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist()):
+                words = text.split()
+                for p in parts:
+                    for off in range(p["windows"]):
+                        at = p["start"] + off
+                        own = hashlib.blake2b(b" ".join(words[at : at + window]), digest_size=16)
+                        rows.append((p["anchor"], p["seg"], off, p["copies"], own.digest()))
+                    if len(rows) > FLUSH_WINDOWS:
+                        yield packed(rows)
+                        rows = []
+            if rows:
+                yield packed(rows)
+
+    wanted = write_scratch(many.select("row").distinct(), "wanted")
+    few = docs.join(broadcast_if_small(wanted), _row(id_col, text_col) == wanted["row"], "left_semi")
+    return _texts(few, many, id_col, text_col).mapInArrow(
+        run, "anchor long, seg long, off long, copies long, digest binary"
+    )
+
+
+def _counted(windows: DataFrame) -> DataFrame:
+    """(anchor, seg, a, b) as in _marked, from ``windows`` (written)."""
+    key = ["anchor", "digest"]
+    repeats = windows.groupBy(key).agg(F.sum("copies").alias("n")).filter("n > 1").select(key)
+    repeats = write_scratch(repeats, "repeats")
+    # a segment has few windows
+    marked = windows.join(broadcast_if_small(repeats), key).groupBy("anchor", "seg").agg(
+        F.array_sort(F.collect_list("off")).alias("offs")
+    )
+    first = F.filter("offs", lambda i: ~F.array_contains("offs", i - 1))
+    last = F.filter("offs", lambda i: ~F.array_contains("offs", i + 1))
+    runs = F.explode(F.arrays_zip(first.alias("a"), last.alias("b"))).alias("run")
+    return marked.select("anchor", "seg", runs).select(
+        "anchor", "seg", "run.a", (F.col("run.b") + 1).alias("b")
     )
 
 
@@ -289,14 +332,14 @@ def _marked(reference: DataFrame, window: int) -> DataFrame:
         symbols: dict[bytes, int] = {}
         streams = []
         for rows in groups:
-            for r in {(r["seg"], r["off"]): r for r in rows}.values():
+            for r in {r["seg"]: r for r in rows}.values():
                 coded = [symbols.setdefault(w, len(symbols)) for w in r["words"].split()]
                 automaton.add(coded, r["copies"])
                 streams.append((r, coded))
         automaton.finish()
         out = []
         for r, coded in streams:
-            first = [e - window + 1 + r["off"] for e in automaton.repeated_ends(coded, window)]
+            first = [e - window + 1 for e in automaton.repeated_ends(coded, window)]
             out += [(r["anchor"], r["seg"], a, b) for a, b in merge([(i, i + 1) for i in first])]
         if out:
             yield pa.RecordBatch.from_arrays(
@@ -305,7 +348,7 @@ def _marked(reference: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         shard, size = [], 0
-        for rows in by_group(batches, ["anchor", "salt"], lambda rows: [rows]):
+        for rows in by_group(batches, ["anchor"], lambda rows: [rows]):
             shard.append(rows)
             size += sum(len(r["words"]) for r in rows) // 6
             if size > SHARD_WORDS:
@@ -314,7 +357,7 @@ def _marked(reference: DataFrame, window: int) -> DataFrame:
         if shard:
             yield from judged(shard)
 
-    placed = reference.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    placed = reference.repartition("anchor").sortWithinPartitions("anchor")
     return placed.mapInArrow(run, "anchor long, seg long, a long, b long")
 
 
@@ -331,6 +374,10 @@ def repeated_spans(
     repeated = write_scratch(_repeated(_deal(source, window, ranges), ranges), "repeated")
     reference = _reference(docs, repeated, window, id_col, text_col)
     marked = write_scratch(_marked(reference, window), "marked")
+    many = repeated.filter(F.col("rep") & (F.col("kinds") > ANCHOR_SEGMENTS))
+    if not many.isEmpty():
+        windows = write_scratch(_windows(docs, many, window, id_col, text_col), "windows")
+        marked = marked.union(write_scratch(_counted(windows), "marked"))
     last = F.lit(window - 1)
     whole = repeated.filter("kinds = 1").select(
         "row", F.col("start").alias("a"), (F.col("start") + F.col("windows") + last).alias("b")

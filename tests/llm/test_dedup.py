@@ -61,6 +61,27 @@ def test_salted_anchor(spark, monkeypatch):
     assert Counter(tuple(r[:4]) for r in got) == brute_substrings(data, 35)
 
 
+def test_one_passage_between_different_words(spark, monkeypatch):
+    """No group grows with the number of documents that hold a passage."""
+    monkeypatch.setattr(substrings, "ANCHOR_SEGMENTS", 5)
+    largest = []
+    marked = substrings._marked
+
+    def spy(reference, window):
+        key = [c for c in ("anchor", "salt") if c in reference.columns]
+        largest.append(reference.groupBy(key).count().agg(F.max("count")).first()[0] or 0)
+        return marked(reference, window)
+
+    monkeypatch.setattr(substrings, "_marked", spy)
+    rng = random.Random(6)
+    passage = corpus.prose(rng, 60)
+    data = [(i, f"{corpus.prose(rng, 20)} {passage} {corpus.prose(rng, 20)}", None, None, 0) for i in range(80)]
+    data += [(100 + i, " ".join(words(data[i][1])[:70]), None, None, 0) for i in range(3)]
+    got = substrings.remove_repeats(corpus.frame(spark, data), 35).collect()
+    assert Counter(tuple(r[:4]) for r in got) == brute_substrings(data, 35)
+    assert max(largest) <= 5
+
+
 def test_automaton_counts():
     rng = random.Random(3)
     for _ in range(30):
