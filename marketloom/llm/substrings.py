@@ -246,12 +246,13 @@ class SuffixAutomaton:
 
 
 def _texts(docs: DataFrame, segments: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Texts with those of ``segments`` that are taken from them (``parts``)."""
+    """Texts, repeated rows once, with those of ``segments`` that are taken from
+    them (``parts``)."""
     wanted = segments.groupBy("row").agg(
         F.collect_list(F.struct("anchor", "seg", "start", "windows", "copies")).alias("parts")
     )
     source = docs.select(_row(id_col, text_col).alias("row"), text_bytes(text_col).alias("text"))
-    return source.join(wanted, "row").select("text", "parts")
+    return source.dropDuplicates(["row"]).join(wanted, "row").select("text", "parts")
 
 
 def _reference(docs: DataFrame, repeated: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -332,7 +333,7 @@ def _marked(reference: DataFrame, window: int) -> DataFrame:
         symbols: dict[bytes, int] = {}
         streams = []
         for rows in groups:
-            for r in {r["seg"]: r for r in rows}.values():
+            for r in rows:
                 coded = [symbols.setdefault(w, len(symbols)) for w in r["words"].split()]
                 automaton.add(coded, r["copies"])
                 streams.append((r, coded))
@@ -385,7 +386,8 @@ def repeated_spans(
     part = repeated.filter("kinds > 1").join(marked, ["anchor", "seg"]).select(
         "row", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + last).alias("b")
     )
-    return whole.union(part).groupBy("row").agg(
+    # repeated rows have the same spans: once each, they are no more than the text's words
+    return whole.union(part).dropDuplicates(["row", "a", "b"]).groupBy("row").agg(
         F.collect_list(F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"))).alias("spans")
     )
 

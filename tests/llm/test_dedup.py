@@ -82,6 +82,30 @@ def test_one_passage_between_different_words(spark, monkeypatch):
     assert max(largest) <= 5
 
 
+def test_spans_of_repeated_rows(spark, monkeypatch):
+    """Repeated rows, with an id and without, add nothing to what is gathered."""
+    largest = []
+    marked = substrings._marked
+
+    def spy(reference, window):
+        largest.append(reference.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return marked(reference, window)
+
+    monkeypatch.setattr(substrings, "_marked", spy)
+    rng = random.Random(7)
+    passage = corpus.prose(rng, 60)
+    text, other, third = (f"{corpus.prose(rng, 20)} {passage} {corpus.prose(rng, 20)}" for _ in range(3))
+    data = [(1, text, None, None, 0)] * 30 + [(None, other, None, None, 0)] * 30 + [(2, third, None, None, 0)]
+    docs = corpus.frame(spark, data)
+    spans = substrings.repeated_spans(docs, 35).collect()
+    assert len(spans) == 3
+    for r in spans:
+        assert len({tuple(s) for s in r["spans"]}) == len(r["spans"])
+    assert largest == [3]  # three texts
+    got = substrings.remove_repeats(docs, 35).collect()
+    assert Counter(tuple(r[:4]) for r in got) == brute_substrings(data, 35)
+
+
 def test_automaton_counts():
     rng = random.Random(3)
     for _ in range(30):
