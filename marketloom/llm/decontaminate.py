@@ -8,8 +8,11 @@ holds all windows.  A document is normalised once, turned into the same code
 points and scanned once; the position of a match is a word number, and word
 numbers are mapped back to character offsets of the original text.
 
-The benchmark is the stated query set.  It is read in blocks of at most
-``block_words`` words (normally one), each block one automaton of bounded size.
+The benchmark is the stated query set.  It is read in blocks of about
+``block_words`` words (normally one; a longer item is a block of its own size), each
+block one automaton.  With several blocks the documents are scanned by one job per
+block, so the driver and the workers hold one block at a time; what a job finds is
+written by text and merged at the end.
 
 Nulls: a null text has no words and is never hit; null items are ignored, a
 null item_id is listed as "null".  Empty tables give empty or clean results.
@@ -20,13 +23,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from marketloom.llm.common import map_texts, text_bytes
+from marketloom.sources.tables import save_table, shared_dir, write_scratch
 
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
@@ -105,16 +112,22 @@ def character_spans(text: bytes, runs: list[list[int]]) -> list[tuple[int, int]]
     return [(chars(at[a][0]), chars(at[b - 1][1])) for a, b in runs]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int):
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> tuple:
+    """The number of blocks and the items; several blocks are written, by ``block``."""
     items = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
         text_bytes(text_col).alias("text"),
     ).filter("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (block_words * 4)))  # a word with its separator has 4 bytes or more, mostly
-    for i in range(n):
-        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        yield [(r["item"], bytes(r["text"])) for r in part.collect()]
+    if n > 1:
+        items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
+        items = write_scratch(items.repartition("block").sortWithinPartitions("block"), "benchmark")
+    return n, items
+
+
+def _collected(items: DataFrame) -> list[tuple[str, bytes]]:
+    return [(r["item"], bytes(r["text"])) for r in items.select("item", "text").collect()]
 
 
 def scan_rows(
@@ -122,30 +135,85 @@ def scan_rows(
     item_col: str = "item_id", text_col: str = "text", block_words: int = 500_000,
 ) -> DataFrame:
     """``row`` (the carried columns) and ``out`` (RESULT) for every row of ``docs``."""
-    context = docs.sparkSession.sparkContext
-    blocks = [
-        context.broadcast((block, window))
-        for block in _blocks(benchmark, item_col, text_col, block_words)
-    ]
+    n, items = _blocks(benchmark, item_col, text_col, block_words)
+    if n > 1:
+        return _merged(docs, _block_hits(docs, n, items, window, text_col), carry, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((_collected(items), window))
 
     def compute(texts):
-        words = [words_of(text) for text in texts]
-        spans: list[list] = [[] for _ in texts]
-        items: list[set] = [set() for _ in texts]
-        for shared in blocks:
-            automaton = _automaton(shared)
-            for i, w in enumerate(words):
-                more, names = automaton.scan(w)
-                spans[i] += more
-                items[i] |= names
-        return [
-            report(text, w, merge(found), names)
-            for text, w, found, names in zip(texts, words, spans, items)
-        ]
+        automaton = _automaton(shared)
+        out = []
+        for text in texts:
+            words = words_of(text)
+            spans, names = automaton.scan(words)
+            out.append(report(text, words, merge(spans), names))
+        return out
 
     return map_texts(docs, carry, text_bytes(text_col), RESULT, compute)
 
 
+def _text_key(text_col: str):
+    return F.sha2(text_bytes(text_col), 256)
+
+
+def _block_hits(docs: DataFrame, n: int, items: DataFrame, window: int, text_col: str) -> DataFrame:
+    """(key, block, spans, items) of the texts that a block hits; one job per block."""
+    spark = docs.sparkSession
+    source = docs.select(_text_key(text_col).alias("key"), text_bytes(text_col).alias("text"))
+    path = f"{shared_dir(spark)}/scratch/hits-{uuid.uuid4().hex[:12]}"
+    types = [pa.string(), pa.int64(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.string())]
+
+    def scan(shared, block: int):
+        def run(batches):
+            automaton = _automaton(shared)
+            for batch in batches:
+                rows = []
+                for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                    spans, names = automaton.scan(words_of(text))
+                    if spans:
+                        rows.append((key, block, merge(spans), sorted(names)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["key", "block", "spans", "items"]
+                    )
+
+        return source.mapInArrow(run, "key string, block long, spans array<array<int>>, items array<string>")
+
+    for block in range(n):
+        shared = spark.sparkContext.broadcast((_collected(items.filter(F.col("block") == block)), window))
+        hits = save_table(scan(shared, block), path, "append")
+        shared.destroy()
+    return hits
+
+
+def _merged(docs: DataFrame, hits: DataFrame, carry: list[str], text_col: str) -> DataFrame:
+    """The rows of scan_rows from what the blocks hit."""
+    # equal texts have equal hits: one of each block is enough
+    found = hits.groupBy("key", "block").agg(F.first("spans").alias("spans"), F.first("items").alias("items"))
+    found = write_scratch(found.groupBy("key").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+    ), "hits")
+    source = docs.select(
+        F.struct(*carry).alias("row"), _text_key(text_col).alias("key"), text_bytes(text_col).alias("text"),
+    ).join(found, "key", "left").select("row", "text", "spans", "items")
+    fields = list(to_arrow_type(RESULT))
+
+    def run(batches):
+        for batch in batches:
+            out = [
+                report(text, words_of(text), merge(spans or []), set(names or []))
+                for text, spans, names in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "items")))
+            ]
+            columns = list(zip(*out)) or [()] * len(fields)
+            struct = pa.StructArray.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields
+            )
+            yield pa.RecordBatch.from_arrays([batch.column("row"), struct], ["row", "out"])
+
+    return source.mapInArrow(run, T.StructType([source.schema["row"], T.StructField("out", RESULT, False)]))
+
+
 def report(text: bytes | None, words: list[bytes], runs: list[list[int]], items: set[str]) -> tuple:
     names = ",".join(sorted(items))
     return (

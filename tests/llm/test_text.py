@@ -265,6 +265,38 @@ def test_benchmark_hits(spark, block):
     assert decontaminate.decontaminate(docs, bench.limit(0)).filter("contaminated").collect() == []
 
 
+def test_one_block_of_the_benchmark_at_a_time(spark, monkeypatch):
+    """No block stays broadcast while another one is read; repeated texts and rows."""
+    from pyspark.core.broadcast import Broadcast
+
+    made, open_now, most = [], set(), []
+    init, destroy = Broadcast.__init__, Broadcast.destroy
+
+    def begin(self, *args, **kwargs):
+        init(self, *args, **kwargs)
+        open_now.add(id(self))
+        made.append(self)
+        most.append(len(open_now))
+
+    def end(self, *args, **kwargs):
+        open_now.discard(id(self))
+        destroy(self, *args, **kwargs)
+
+    monkeypatch.setattr(Broadcast, "__init__", begin)
+    monkeypatch.setattr(Broadcast, "destroy", end)
+    rng = random.Random(8)
+    items = [(i, corpus.prose(rng, 20)) for i in range(4)]
+    text = f"{items[0][1]} and {items[1][1]} {items[2][1]}"
+    data = [(i, text, None, None, 0) for i in range(5)] + [(9, text, None, None, 0)] * 3
+    data += [(20, "nothing", None, None, 0), (21, None, None, None, 0)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.scan_rows(corpus.frame(spark, data), bench, ["doc_id"], block_words=30)
+    names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    got = found.select("row.doc_id", *[f"out.{n}" for n in names]).collect()
+    assert Counter(map(tuple, got)) == brute_hits(data, items, 10)
+    assert len(made) > 1 and max(most) == 1
+
+
 # ----------------------------------------------------------------- pipeline
 
 
