@@ -2,8 +2,8 @@
 
 Documents are tokenised whole and end with a separator token.  A document
 longer than the window is first cut into full windows and a rest.  Pieces are
-dealt by a hash into buckets of bounded size, and each bucket is packed by
-itself: pieces in decreasing length, each into the open window with the least
+dealt by a hash, salted with a row number so that repeated rows part, into buckets
+of bounded size, and each bucket is packed by itself: pieces in decreasing length, each into the open window with the least
 remaining capacity that still holds it.  The open windows stand in a segment
 tree indexed by remaining capacity, so that window is found in a few steps.
 
@@ -262,11 +262,12 @@ def best_fit_decreasing(lengths: list[int], window: int) -> list[tuple[int, int]
 def pack(
     pieces: DataFrame, window: int = WINDOW, bucket_pieces: int = BUCKET_PIECES
 ) -> DataFrame:
-    """``pieces`` (written: read more than once) without ids, plus sequence_id
-    and offset."""
-    pieces = pieces.drop("ids")
+    """``pieces`` without ids, plus sequence_id and offset."""
+    # written: the salt must not change between reads
+    salted = pieces.drop("ids").withColumn("salt", F.monotonically_increasing_id())
+    pieces = write_scratch(salted, "pieces")
     buckets = max(1, -(-pieces.count() // bucket_pieces))
-    key = F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(buckets)).cast("long")
+    key = F.pmod(F.xxhash64("id", "start", "ids_crc32", "salt"), F.lit(buckets)).cast("long")
 
     def place(pdf):
         pdf = pdf.sort_values(
@@ -278,8 +279,9 @@ def pack(
         pdf["offset"] = at[:, 1]
         return pdf.drop(columns=["bucket"])
 
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.withColumn("bucket", key).groupBy("bucket").applyInPandas(
+    dealt = pieces.withColumn("bucket", key).drop("salt")
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.drop("bucket").schema)
+    return dealt.groupBy("bucket").applyInPandas(
         place, f"{names}, sequence_id long, offset long"
     )
 
@@ -290,7 +292,7 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     cut = cut_tokens(docs, window, id_col, text_col, tokenizer_path, with_ids=False)
-    return pack(write_scratch(cut, "pieces"), window, bucket_pieces).withColumnRenamed("id", id_col)
+    return pack(cut, window, bucket_pieces).withColumnRenamed("id", id_col)
 
 
 def sequences(pieces: DataFrame, plan: DataFrame, window: int = WINDOW, pad: int = 0) -> DataFrame:

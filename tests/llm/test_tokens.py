@@ -51,6 +51,13 @@ def test_packing(spark):
         assert at <= 4096
 
 
+def test_repeated_rows_fill_many_buckets(spark):
+    data = [(None, None, None, None, None)] * 200 + [(5, "same text", None, None, 9)] * 200
+    got = packing.pack_documents(corpus.frame(spark, data), bucket_pieces=20).collect()
+    assert Counter((r["doc_id"], r["length"]) for r in got) == {(None, 1): 200, (5, len(ids_of(["same text"])[0])): 200}
+    assert max(Counter(r["sequence_id"] % 20 for r in got).values()) <= 60
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = random.Random(2)
     lengths = sorted((rng.randint(1, 100) for _ in range(300)), reverse=True)
