@@ -6,8 +6,10 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from marketloom.oracle.registry import all_sql
 from marketloom.plans.pipeline import QualityError, run_pipeline
 from marketloom.plans.rules import Rule
+from marketloom.registry import registered
 from marketloom.sources.fixture import FixtureSources
 from shop import ROWS, shop
 
@@ -51,7 +53,9 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered()) == set(all_sql())
+    assert set(registered()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @needs_data
