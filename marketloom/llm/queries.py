@@ -10,7 +10,9 @@ from marketloom.llm.jaccard import jaccard_classes
 from marketloom.llm.langid import identify
 from marketloom.llm.packing import pack_documents
 from marketloom.llm.quality import judge
+from marketloom.llm.search import rank_documents
 from marketloom.llm.sharding import shard_by_bytes
+from marketloom.llm.sql import SQL  # noqa: F401
 from marketloom.llm.substrings import remove_repeats
 from marketloom.llm.token_counts import section_tokens
 from marketloom.llm.urls import Rule, judge_urls
@@ -81,6 +83,11 @@ def op10_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return rank_documents(docs, items, k=10)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -92,6 +99,5 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op10_packing": op10_packing,
+    "op12_ranked_search": op12_ranked_search,
 }
-
-SQL: dict[str, str] = {}
