@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import reach_workers
+from marketloom.llm.conversations import conversation_trie, with_heads
 from marketloom.llm.decontaminate import decontaminate
 from marketloom.llm.jaccard import jaccard_classes
 from marketloom.llm.langid import identify
@@ -83,6 +84,10 @@ def op10_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"), with_heads)
+
+
 def op12_ranked_search(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return rank_documents(docs, items, k=10)
@@ -99,5 +104,6 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op10_packing": op10_packing,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_ranked_search": op12_ranked_search,
 }

@@ -35,4 +35,48 @@ with doc_terms as (
 select * from ranked where rank <= 10
 """
 
-SQL = {"op12_ranked_search": OP12}
+#: CRC-32 of an ASCII text: eight shifts for each of its characters.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), range(8)),
+        lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+OP11 = f"""
+with own as (
+    select conv_id as conv, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first,
+            md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+    from conversations where conv_id is not null
+), convs as (
+    select conv, {_CRC32.format(text="conv::varchar")} % 6 as h, conv - conv % 100 as base
+    from (select distinct conv from own)
+), built as (
+    select c.conv, 0 as part, o.pos, o.role, o.text from convs c join own o on o.conv = c.base and o.pos <= c.h
+    union all
+    select c.conv, 1, o.pos, o.role, o.text from convs c join own o on o.conv = c.conv and o.pos > c.h
+), turns as (
+    select conv, row_number() over w as depth, length(text) as chars,
+        list(md5(length(role) || ':' || role || text)) over (w rows unbounded preceding) as path
+    from built window w as (partition by conv order by part, pos)
+), paths as (
+    select conv, depth, chars, path from turns union all select conv, 0, 0, []::varchar[] from convs
+), lengths as (
+    select conv, max(depth) as len from paths group by conv
+), nodes as (
+    select path, depth, min(conv) as conv_id, count(*) as n_convs, max(chars) as chars,
+        sha256(coalesce(string_agg(conv::varchar, ',' order by conv) filter (where depth = len), '')) as ends_sha256
+    from paths join lengths using (conv) group by path, depth
+), children as (
+    select path[1:depth - 1] as path, count(*) as n from nodes where depth > 0 group by all
+), below as (
+    select path[1:d] as path, sum((c.n is null)::bigint)::bigint as n_leaves, sum((n_convs - 1) * chars)::bigint as saved_tokens
+    from (select *, unnest(range(0, depth + 1)) as d from nodes) x left join children c using (path) group by all
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n, 0)::bigint as n_children,
+    b.n_leaves, b.saved_tokens, n.ends_sha256
+from nodes n join below b using (path) left join children c using (path)
+left join nodes p on n.depth > 0 and p.path = n.path[1:n.depth - 1]
+"""
+
+SQL = {"op11_conversation_trie": OP11, "op12_ranked_search": OP12}
