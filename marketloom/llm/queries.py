@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import reach_workers
 from marketloom.llm.conversations import conversation_trie, with_heads
 from marketloom.llm.decontaminate import decontaminate
+from marketloom.llm.html import main_text
 from marketloom.llm.jaccard import jaccard_classes
 from marketloom.llm.langid import identify
 from marketloom.llm.packing import pack_documents
@@ -93,6 +94,10 @@ def op12_ranked_search(spark, sf_dir):
     return rank_documents(docs, items, k=10)
 
 
+def op13_html_extraction(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -106,4 +111,5 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_ranked_search": op12_ranked_search,
+    "op13_html_extraction": op13_html_extraction,
 }
