@@ -46,8 +46,8 @@ from marketloom.operators.ranking import number_within, positions
 from marketloom.sources.tables import write_scratch
 
 #: Conversations and rows of one shard.
-SHARD_CONVS = 4_000
-SHARD_ROWS = 50_000
+SHARD_CONVS = 250
+SHARD_ROWS = 2_000
 #: Ids in one pack; rows handed on at a time.
 PACK_IDS = 10_000
 FLUSH_ROWS = 10_000
