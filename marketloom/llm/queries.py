@@ -50,10 +50,10 @@ def op4_url_filter(spark, sf_dir):
 
 
 def op9_quality(spark, sf_dir):
-    judged = judge(table(spark, sf_dir, "documents"))
     failed = (F.col("n_words") < 50) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words")
     )
+    judged = judge(table(spark, sf_dir, "documents"), fitted=~failed)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior",

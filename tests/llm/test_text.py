@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import decontaminate, langid, quality, queries, urls, warc
 from marketloom.sources.tables import shared_dir
 
+DATA = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -57,6 +59,40 @@ def test_expectation_maximisation_finds_the_bad_documents(spark):
     assert all(r["good"] == (r["doc_id"] % 10 != 0) and 0 <= r["posterior"] <= 1 for r in got)
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables not present")
+def test_verdicts_agree_with_labels(spark):
+    """Of the documents that pass the base rules: bad ones go, good ones stay."""
+    got = queries.QUERIES["op9_quality"](spark, DATA)
+    assert [(f.name, f.dataType.simpleString()) for f in got.schema][:8] == [
+        ("doc_id", "bigint"), ("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"),
+        ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint"), ("base_failed", "boolean"), ("kept", "boolean"),
+    ]
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    counts = {
+        (r["quality"], r["kept"]): r["count"]
+        for r in got.filter("not base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    }
+    assert counts[0, False] >= 0.9 * (counts[0, False] + counts.get((0, True), 0))
+    assert counts.get((1, False), 0) <= 0.03 * (counts[1, True] + counts.get((1, False), 0))
+
+
+def test_a_bad_vote_never_speaks_for_good(spark):
+    rng = random.Random(2)
+    votes = [f"vote_{r.name}" for r in quality.RULES]
+    for _ in range(3):
+        rows = [tuple(rng.choice([1, 1, 1, 0, -1]) for _ in votes) for _ in range(80)]
+        model = quality.fit(spark.createDataFrame(rows, ", ".join(f"{v} int" for v in votes)))
+        for by_vote in model.weight.values():
+            assert by_vote[1] >= 0 >= by_vote[-1] and by_vote[0] == 0
+
+
+def test_clashing_columns_and_long_text(spark):
+    docs = corpus.frame(spark, [(1, "word " * 300_000, None, None, 0), (2, None, None, None, 0)])
+    docs = docs.withColumns({"n_words": F.lit("clash"), "id": F.lit(7), "posterior": F.lit("x"), "t": F.lit(1)})
+    got = {r["doc_id"]: r["n_words"] for r in quality.judge(docs).collect()}
+    assert got == {1: 300_000, 2: 0}
+
+
 def test_fit_of_nothing_and_plan_without_python(spark):
     empty = corpus.frame(spark, [])
     assert quality.judge(empty).collect() == []
