@@ -33,6 +33,7 @@ bits that tell null from empty."""
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
 from functools import lru_cache
@@ -126,10 +127,11 @@ def blocks(page: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, int, bool]] = [("", OPEN, False)]
 
     def close():
-        text = " ".join("".join(pieces).split())
-        pieces.clear()
-        if text:
-            out.append((text, next(m for _, m, _ in reversed(stack) if m != HIDDEN)))
+        if pieces:
+            text = " ".join("".join(pieces).split())
+            pieces.clear()
+            if text:
+                out.append((text, next(m for _, m, _ in reversed(stack) if m != HIDDEN)))
 
     def leave(tag: str):
         for i in range(len(stack) - 1, 0, -1):
@@ -137,33 +139,35 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 del stack[i:]
                 return
 
-    at, end = 0, len(page)
+    at, end, search = 0, len(page), _TAG.search
     while at < end:
-        found = _TAG.search(page, at)
+        found = search(page, at)
         stop = found.start() if found else end
         if stop > at and stack[-1][1] != HIDDEN:
-            pieces.append(references.unescape(page[at:stop]))
+            text = page[at:stop]
+            pieces.append(references.unescape(text) if "&" in text else text)
         if not found:
             break
         at = found.end()
-        if not found.group(2):  # a comment or a declaration
+        ends, tag, attributes = found.groups()
+        if not tag:  # a comment or a declaration
             continue
-        tag = found.group(2).lower()
+        tag = tag.lower()
         if tag == "br":
             pieces.append(" ")
-        elif found.group(1):
+        elif ends:
             if tag in INLINE or tag in UNSEEN or stack[-1][1] == HIDDEN:
                 leave(tag)
             elif tag not in VOID:
                 close()
                 leave(tag)
-        elif tag in INLINE and "hidden" not in (said := found.group(3).lower()) and "style" not in said:
+        elif tag in INLINE and not (attributes and re.search("hidden|style", attributes, re.I)):
             continue
         else:
             if tag == "body":
                 leave("head")
             _, mark, in_article = stack[-1]
-            own = HIDDEN if mark == HIDDEN else _mark(tag, found.group(3), in_article)
+            own = HIDDEN if mark == HIDDEN else _mark(tag, attributes, in_article)
             if own == HIDDEN:
                 if tag in RAW:
                     raw = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -199,16 +203,29 @@ class Stream:
         self.marks = np.repeat(
             np.array([m for _, m in self.blocks], dtype=np.int8), self.sizes
         ) if self.blocks else np.zeros(0, dtype=np.int8)
-        self.tokens = word_hashes(" ".join(t for t, _ in self.blocks).encode("utf-8", "replace"))
 
     def windows(self, window: int) -> np.ndarray:
         """Starts of the windows that are not wholly inside a marked article."""
-        n = len(self.tokens) - window + 1
+        n = len(self.marks) - window + 1
         if n <= 0:
             return np.zeros(0, dtype=np.int64)
         outside = np.r_[0, np.cumsum(self.marks != ARTICLE)]
         return np.flatnonzero(outside[window : window + n] > outside[:n])
 
+    def needed(self, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the tokens that windows at ``starts`` cover, and the starts
+        among them."""
+        inside = np.cumsum(covering(starts, window, len(self.marks))) > 0
+        # a block's text has single spaces only, all others are part of its tokens
+        words = " ".join(t for t, _ in self.blocks).split(" ")
+        text = " ".join([words[i] for i in np.flatnonzero(inside).tolist()])
+        return word_hashes(text.encode("utf-8", "replace")), (np.cumsum(inside) - 1)[starts]
+
+    def name(self) -> int:
+        """A signed name of the stream: pages with equal streams are one."""
+        text = " ".join(t for t, _ in self.blocks).encode("utf-8", "replace")
+        return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
     def text(self, covered: np.ndarray) -> str:
         """What stays, given which tokens are covered by repeats."""
         # the closest that the page has to a marked article
@@ -278,11 +295,12 @@ def digests(tokens: np.ndarray, starts: np.ndarray, host, window: int) -> tuple[
     return a.view(np.int64), b.view(np.int64)
 
 
-def stream_name(tokens: np.ndarray) -> int:
-    """A signed name of a page's stream: pages with equal streams are one."""
-    place = np.arange(1, len(tokens) + 1, dtype=np.uint64)
-    total = np.add.reduce(mix(tokens + mix(place)), dtype=np.uint64)
-    return int(mix(np.array([total + np.uint64(len(tokens))], dtype=np.uint64)).view(np.int64)[0])
+def covering(starts: np.ndarray, window: int, n: int) -> np.ndarray:
+    """By how much the number of windows over each of ``n`` tokens changes there."""
+    change = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + window, -1)
+    return change[:-1]
 
 
 def _names(*columns: Column) -> list[Column]:
@@ -316,8 +334,8 @@ def _substrings(source: DataFrame, window: int) -> DataFrame:
                 stream = Stream(page)
                 starts = stream.windows(window)
                 if len(starts):
-                    tokens, starts = _needed(stream.tokens, starts, window)
-                    held.append((host, stream_name(stream.tokens), tokens, starts))
+                    tokens, starts = stream.needed(starts, window)
+                    held.append((host, stream.name(), tokens, starts))
                     size += len(tokens)
                 if size >= STREAM_TOKENS:
                     yield handed()
@@ -328,15 +346,6 @@ def _substrings(source: DataFrame, window: int) -> DataFrame:
     return source.select("host", "html").mapInArrow(run, "d1 long, d2 long, least long, greatest long")
 
 
-def _needed(tokens: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens that windows at ``starts`` cover, and the starts among them."""
-    used = np.zeros(len(tokens) + 1, dtype=np.int64)
-    np.add.at(used, starts, 1)
-    np.add.at(used, starts + window, -1)
-    inside = np.cumsum(used[:-1]) > 0
-    return tokens[inside], (np.cumsum(inside) - 1)[starts]
-
-
 def _places(source: DataFrame, window: int) -> DataFrame:
     """(r1, r2, at, d1, d2) of every window of every page."""
 
@@ -348,9 +357,12 @@ def _places(source: DataFrame, window: int) -> DataFrame:
                     continue
                 stream = Stream(page)
                 starts = stream.windows(window)
+                if not len(starts):
+                    continue
+                tokens, places = stream.needed(starts, window)
                 for i in range(0, len(starts), FLUSH_WINDOWS):
                     part = starts[i : i + FLUSH_WINDOWS]
-                    d1, d2 = digests(stream.tokens, part, host, window)
+                    d1, d2 = digests(tokens, places[i : i + FLUSH_WINDOWS], host, window)
                     held.append((np.full(len(part), r1), np.full(len(part), r2), part, d1, d2))
                     size += len(part)
                     if size >= FLUSH_WINDOWS:
@@ -407,11 +419,7 @@ def main_text(
             for page, starts in zip(batch.column("html").to_pylist(), batch.column("starts").to_pylist()):
                 stream = Stream(page)
                 n = len(stream.marks)
-                marked = np.zeros(n + 1, dtype=np.int64)
-                if starts:
-                    np.add.at(marked, np.array(starts), 1)
-                    np.add.at(marked, np.array(starts) + window, -1)
-                gone = np.cumsum(marked[:-1]) > 0
+                gone = np.cumsum(covering(np.array(starts or [], dtype=np.int64), window, n)) > 0
                 text = stream.text(gone)
                 out.append((text, len(text), n, int((gone & (stream.marks != ARTICLE)).sum())))
             columns = list(zip(*out)) or [()] * len(fields)
