@@ -24,6 +24,12 @@ def text_bytes(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("binary")
 
 
+def row_name(*columns: Column) -> Column:
+    """A 128-bit name of a row by some of its columns; null is a value like others."""
+    told = [x for c in columns for x in (c.isNull(), c)]
+    return F.struct(*[F.xxhash64(F.lit(i), *told).alias(f"r{i}") for i in (1, 2)])
+
+
 def map_texts(
     df: DataFrame,
     carry: list[str] | list[Column],

@@ -17,9 +17,9 @@ are one class from the start and compared once.
    above.
 4. Pairs that pass are checked on the sorted shingle arrays.  First every set
    meets two leaders only, those with the fewest rare cells, in its widest tiles;
-   what these links connect is not compared again, and all other pairs of the
-   tiles follow.  A large group of near
-   copies thus costs about two pairs per member, and no link between different
+   what these links connect is not compared again.  Then the sets outside of a
+   tile's largest component meet the tile.  A large group of near copies with a few
+   outsiders thus costs a few pairs per member, and no link between different
    components can be missed.
 
 Shingles are compared by 64-bit hashes.  Nulls: a null or empty text has an
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import broadcast_if_small, text_bytes
+from marketloom.llm.common import broadcast_if_small, row_name, text_bytes
 from marketloom.llm.components import connected_components
 from marketloom.llm.words import gram_hashes, mix, word_hashes
 from marketloom.sources.tables import write_scratch
@@ -49,6 +49,9 @@ SIGNATURE_BITS = 512
 WIDE_CELLS = 2
 #: Shingles of one counting task, and shingles gathered before a map task hands on.
 RANGE_SHINGLES = 2_000_000
+#: Sets whose tiles are compared together, and pairs found before they are handed on.
+CHUNK_SETS = 60_000
+FLUSH_PAIRS = 200_000
 FLUSH_SHINGLES = 1_000_000
 
 
@@ -82,7 +85,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def members(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(row, id, key, n, m): each row's set by name, its size and its cells."""
     source = docs.select(
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(id_col).alias("id"),
+        row_name(F.col(id_col), F.col(text_col)).alias("row"), F.col(id_col).alias("id"),
         text_bytes(text_col).alias("text"),
     )
     id_type = source.schema["id"].dataType.simpleString()
@@ -101,7 +104,7 @@ def members(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
                 ["row", "id", "key", "n", "m"],
             )
 
-    return source.mapInArrow(run, f"row long, id {id_type}, key long, n long, m long")
+    return source.mapInArrow(run, f"row struct<r1:bigint,r2:bigint>, id {id_type}, key long, n long, m long")
 
 
 def _deal(docs: DataFrame, k: int, text_col: str, ranges: int) -> DataFrame:
@@ -272,7 +275,7 @@ def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) ->
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(key, n, signature, shingles) of the documents in ``wanted`` (column row)."""
     source = docs.select(
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), text_bytes(text_col).alias("text")
+        row_name(F.col(id_col), F.col(text_col)).alias("row"), text_bytes(text_col).alias("text")
     ).join(wanted, "row", "left_semi").select("text")
 
     def run(batches):
@@ -296,6 +299,19 @@ def bound(n: np.ndarray, m: np.ndarray, bits: np.ndarray, others: np.ndarray) ->
     return np.minimum(np.minimum(n, m), (n + m - differ) // 2)
 
 
+def largest_component(own: np.ndarray, label: np.ndarray, tiles: int) -> np.ndarray:
+    """The label that most rows of each tile have."""
+    order = np.lexsort((label, own))
+    o, l = own[order], label[order]
+    first = np.flatnonzero(np.r_[True, (o[1:] != o[:-1]) | (l[1:] != l[:-1])])
+    count = np.diff(np.r_[first, len(o)])
+    most = np.lexsort((count, o[first]))  # the last run of each tile is its largest
+    last = np.r_[o[first][most][1:] != o[first][most][:-1], True]
+    out = np.zeros(tiles, dtype=label.dtype)
+    out[o[first][most][last]] = l[first][most][last]
+    return out
+
+
 def tile_pairs(tile: dict[str, np.ndarray], percent: int, leaders_only: bool):
     """Index pairs within the tiles (rows of equal ``group``, by size) that may
     link and are not known to be connected.
@@ -317,11 +333,21 @@ def tile_pairs(tile: dict[str, np.ndarray], percent: int, leaders_only: bool):
             for leader in (typical[start], typical[np.minimum(start + 1, start + size - 1)]):
                 yield leader[own[rows]], rows
         else:
-            i = np.arange(len(group))
-            for step in range(1, int(size.max())):
-                i = i[i + step < len(group)]
-                i = i[group[i + step] == group[i]]
-                yield i, i + step
+            # only sets outside of a tile's largest component meet the tile
+            own = np.repeat(np.arange(len(start)), size)
+            main = largest_component(own, label, len(start))
+            outside = np.flatnonzero(label != main[own])
+            number = np.arange(len(outside)) - np.searchsorted(own[outside], own[outside])
+            order = np.argsort(number, kind="stable")
+            outside, number = outside[order], number[order]
+            cuts = np.searchsorted(number, np.arange(int(number[-1]) + 2)) if len(number) else []
+            for a, b in zip(cuts[:-1], cuts[1:]):  # one outsider of every tile at a time
+                tiles = own[outside[a:b]]
+                n_rows = size[tiles]
+                rows = np.arange(n_rows.sum()) + np.repeat(start[tiles] - (np.cumsum(n_rows) - n_rows), n_rows)
+                lead = np.repeat(outside[a:b], n_rows)
+                ok = (label[rows] == main[own[rows]]) | (rows > lead)  # two outsiders meet once
+                yield lead[ok], rows[ok]
 
     for i, j in pairs():
         ok = (label[i] != label[j]) & (home[i] | home[j])
@@ -356,28 +382,43 @@ def _pairs(tiles: DataFrame, labels: DataFrame | None, percent: int, leaders_onl
         key = key[many]
         if not len(key):
             return
-        found = [
-            np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
-            for i, j in tile_pairs(tile, percent, leaders_only)
-        ]
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else ([], [])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        held, size = [], 0
+
+        def handed():
+            a, b = np.unique(np.concatenate(held, axis=1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for i, j in tile_pairs(tile, percent, leaders_only):
+            if len(i):
+                held.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])]))
+                size += len(i)
+            if size >= FLUSH_PAIRS:
+                yield handed()
+                held, size = [], 0
+        if size:
+            yield handed()
 
     def run(batches):
-        """Whole tiles, many at a time."""
+        """Whole tiles, many at a time; rows are put together once."""
         waiting: list[pa.RecordBatch] = []
+        held, last = 0, None
+        whole = lambda parts: pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell, band = batch.column("cell").to_numpy(), batch.column("band").to_numpy()
+            if held >= CHUNK_SETS:
+                turn = np.flatnonzero(np.r_[
+                    (cell[0], band[0]) != last, (cell[1:] != cell[:-1]) | (band[1:] != band[:-1])])
+                if len(turn):
+                    cut = int(turn[-1])
+                    yield from pairs_of(whole([*waiting, batch.slice(0, cut)] if cut else waiting))
+                    waiting, held, batch = [], 0, batch.slice(cut)
             waiting.append(batch)
-            if sum(map(len, waiting)) >= 60_000:
-                rows = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
-                cell, band = rows.column("cell").to_numpy(), rows.column("band").to_numpy()
-                turn = np.flatnonzero((cell[1:] != cell[:-1]) | (band[1:] != band[:-1]))
-                cut = int(turn[-1]) + 1 if len(turn) else 0
-                if cut:
-                    yield from pairs_of(rows.slice(0, cut))
-                waiting = [rows.slice(cut)]
-        if sum(map(len, waiting)):
-            yield from pairs_of(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+            held += batch.num_rows
+            last = (cell[-1], band[-1])
+        if held:
+            yield from pairs_of(whole(waiting))
 
     placed = named.repartition("cell", "band").sortWithinPartitions("cell", "band", "n", "key")
     columns = ["cell", "band", "home", "key", "n", "place", "wide", "signature", "label"]
@@ -472,8 +513,9 @@ def keep_one(
     copies = rooted.groupBy("row").agg((F.count("*") > 1).alias("repeated"))
     kept = write_scratch(names.join(copies, "row"), "kept")
     found = docs.select(
-        F.struct(*docs.columns).alias("doc"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
+        F.struct(*docs.columns).alias("doc"), row_name(F.col(id_col), F.col(text_col)).alias("row")
     ).join(kept, "row")
     once = found.filter("not repeated").select("doc")
-    again = found.filter("repeated").groupBy("row").agg(F.first("doc").alias("doc")).select("doc")
+    # rows that differ in other columns: the least of them, so that reruns agree
+    again = found.filter("repeated").groupBy("row").agg(F.min("doc").alias("doc")).select("doc")
     return once.union(again).select("doc.*")

@@ -226,3 +226,61 @@ def test_components(spark):
             changed |= root[a] != low or root[b] != low
             root[a] = root[b] = low
     assert got == {n: r for n, r in root.items() if any(n in e and e[0] != e[1] for e in edges)}
+
+
+def test_null_and_text_do_not_share_a_name(spark):
+    """(id = t, no text) and (no id, text = t) are two rows."""
+    rng = random.Random(12)
+    t = corpus.prose(rng, 60)
+    data = [(t, None), (None, t), ("a", "head " + t), ("b", t + " tail"), (None, None), (t, None)]
+    docs = spark.createDataFrame(data, "doc_id string, text string")
+    got = substrings.remove_repeats(docs, 35).collect()
+    assert Counter(tuple(r[:4]) for r in got) == brute_substrings(data, 35)
+    got = jaccard.jaccard_classes(docs).collect()
+    assert Counter(r["n_shingles"] for r in got) == Counter([0, 0, 0, 56, 57, 57])
+    kept = jaccard.keep_one(docs).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(t, None), (None, None), ("a", "head " + t)])
+
+
+def test_a_hot_tile_with_one_outsider():
+    """The work is in proportion to the tile, not to its square."""
+    import time
+
+    import numpy as np
+
+    n = 200_000
+    rng = np.random.default_rng(3)
+    tile = {
+        "group": np.zeros(n, dtype=np.int64), "n": np.full(n, 100), "place": np.zeros(n, dtype=np.int64),
+        "label": np.ones(n, dtype=np.int64), "home": np.ones(n, dtype=bool), "wide": np.ones(n, dtype=bool),
+        "bits": rng.integers(0, 1 << 63, (n, 8), dtype=np.uint64),
+    }
+    tile["label"][77] = 5
+    tile["bits"][78] = tile["bits"][77]
+    at = time.time()
+    found = [(int(i), int(j)) for a, b in jaccard.tile_pairs(tile, 80, False) for i, j in zip(a, b)]
+    assert found == [(77, 78)] and time.time() - at < 5
+
+
+def test_outsiders_meet_everything_once():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        n = int(rng.integers(2, 60))
+        group = np.sort(rng.integers(0, 4, n))
+        tile = {
+            "group": group, "n": np.full(n, 10), "place": np.zeros(n, dtype=np.int64), "label": rng.integers(0, 4, n),
+            "home": np.ones(n, dtype=bool), "wide": np.ones(n, dtype=bool), "bits": np.zeros((n, 8), dtype=np.uint64),
+        }
+        got = Counter((min(i, j), max(i, j)) for a, b in jaccard.tile_pairs(tile, 80, False) for i, j in zip(a.tolist(), b.tolist()))
+        want = Counter((i, j) for j in range(n) for i in range(j) if group[i] == group[j] and tile["label"][i] != tile["label"][j])
+        assert got == want
+
+
+def test_tiles_over_many_batches(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK_SETS", 3)
+    monkeypatch.setattr(jaccard, "FLUSH_PAIRS", 2)
+    data = corpus.rows()
+    got = jaccard.jaccard_classes(corpus.frame(spark)).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_classes(data))
