@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from marketloom.llm.common import broadcast_if_small, text_bytes
+from marketloom.llm.common import broadcast_if_small, row_name, text_bytes
 from marketloom.llm.decontaminate import merge
 from marketloom.llm.jaccard import by_group
 from marketloom.llm.words import gram_hashes, mix, word_hashes, word_spans
@@ -96,10 +96,10 @@ def segments(words: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def _row(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    return row_name(F.col(id_col), F.col(text_col))
 
 
-_PACKED = (("anchor", np.uint64), ("seg", np.uint64), ("row", np.int64), ("start", np.uint32), ("windows", np.uint16))
+_PACKED = (("anchor", np.uint64), ("seg", np.uint64), ("r1", np.int64), ("r2", np.int64), ("start", np.uint32), ("windows", np.uint16))
 
 
 def _deal(source: DataFrame, window: int, ranges: int) -> DataFrame:
@@ -127,7 +127,7 @@ def _deal(source: DataFrame, window: int, ranges: int) -> DataFrame:
                 anchor, seg, start, count = segments(word_hashes(text), window, ANCHOR)
                 if len(anchor):
                     parts.append((
-                        anchor, seg, np.full(len(anchor), row, dtype=np.int64),
+                        anchor, seg, np.full(len(anchor), row["r1"]), np.full(len(anchor), row["r2"]),
                         start.astype(np.uint32), count.astype(np.uint16),
                     ))
                     size += len(anchor)
@@ -159,19 +159,20 @@ def _repeated(dealt: DataFrame, ranges: int) -> DataFrame:
         keep = (copies > 1) | (kinds > 1)
         if not keep.any():
             return
-        data = [columns["anchor"].view(np.int64), columns["seg"].view(np.int64), columns["row"],
+        data = [columns["anchor"].view(np.int64), columns["seg"].view(np.int64), columns["r1"], columns["r2"],
                 columns["start"].astype(np.int64), columns["windows"].astype(np.int64),
                 copies.astype(np.int64), kinds.astype(np.int64), new_seg]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c[keep]) for c in data],
-            ["anchor", "seg", "row", "start", "windows", "copies", "kinds", "rep"],
+            ["anchor", "seg", "r1", "r2", "start", "windows", "copies", "kinds", "rep"],
         )
 
     placed = dealt.repartition(ranges, "r").sortWithinPartitions("r")
-    return placed.mapInArrow(
+    found = placed.mapInArrow(
         lambda batches: by_group(batches, ["r"], counted),
-        "anchor long, seg long, row long, start long, windows long, copies long, kinds long, rep boolean",
+        "anchor long, seg long, r1 long, r2 long, start long, windows long, copies long, kinds long, rep boolean",
     )
+    return found.withColumn("row", F.struct("r1", "r2")).drop("r1", "r2")
 
 
 class SuffixAutomaton:
@@ -302,7 +303,8 @@ def _windows(docs: DataFrame, many: DataFrame, window: int, id_col: str, text_co
                 yield packed(rows)
 
     wanted = write_scratch(many.select("row").distinct(), "wanted")
-    few = docs.join(broadcast_if_small(wanted), _row(id_col, text_col) == wanted["row"], "left_semi")
+    named = wanted.select(F.col("row").alias("_wanted_row"))
+    few = docs.join(broadcast_if_small(named), _row(id_col, text_col) == F.col("_wanted_row"), "left_semi")
     return _texts(few, many, id_col, text_col).mapInArrow(
         run, "anchor long, seg long, off long, copies long, digest binary"
     )
