@@ -2,8 +2,8 @@
 
 A rule names a host and the start of a path; the longest rule that fits a URL
 decides.  URLs that a rule decides are the labelled ones; the trees are trained
-on lexical features of a bounded, hash-chosen sample of them and judge all URLs
-without a rule.  Everything is DataFrame functions and MLlib on DataFrames.
+on lexical features of a bounded, hash-chosen sample of them, half of each label, and
+judge all URLs without a rule.  Everything is DataFrame functions and MLlib on DataFrames.
 
 Features: length, depth, digit ratio, character entropy, parameter count, host
 labels and hyphens, and the smoothed share of allowed URLs among the labelled
@@ -141,9 +141,15 @@ def judge_urls(
         judged = known.withColumn("probability", F.lit(overall))
     else:
         ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known)
-        share = min(1.0, training_urls / n)
-        draw = F.pmod(F.xxhash64("id", "url"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-        train = ready.filter(F.col("label").isNotNull() & draw).select("label", "features")
+        # half of the sample for each label, by a hash of 62 bits, and one row at least
+        draw = F.pmod(F.xxhash64("url"), F.lit(1 << 62))
+        least = dict(known.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min(draw)).collect())
+        chosen = F.lit(False)
+        for label, rows in ((1.0, n_allowed), (0.0, n - n_allowed)):
+            limit = max(least[label], int(min(1.0, training_urls / 2 / rows) * ((1 << 62) - 1)))
+            chosen = chosen | ((F.col("label") == label) & (draw <= F.lit(limit)))
+        # repeated URLs have one hash: each counts once
+        train = ready.filter(chosen).dropDuplicates(["url"]).select("label", "features")
         model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7).fit(
             write_scratch(train, "url-training")
         )

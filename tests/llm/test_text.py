@@ -111,6 +111,26 @@ URLS = [
 ]
 
 
+def test_trees_learn_from_rules_and_few_urls(spark):
+    """The host's suffix tells the verdict; a rare label is never lost from the draw."""
+    rng = random.Random(3)
+    rows = [(i, f"https://w{rng.randrange(50)}.good.org/{corpus.prose(rng, 1)}") for i in range(400)]
+    rows += [(1000 + i, "https://spam.com/de/1?x=1&y=2&z=99999") for i in range(300)]  # one URL, many rows
+    rows += [(2000 + i, f"https://w{i}.good.net/{corpus.prose(rng, 1)}") for i in range(20)]
+    rows += [(3000 + i, f"https://spam.com/xx/{i}?x=1&y=2&z=99999") for i in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string").withColumns(
+        {"host": F.lit("clash"), "label": F.lit(3), "features": F.lit("x")})
+    for bound in (20_000, 1):
+        got = {r["page_id"]: r for r in urls.judge_urls(frame, queries.URL_RULES, training_urls=bound).collect()}
+        assert len(got) == len(rows)
+        assert all(got[i]["rule"] == "org/" and got[i]["verdict"] == "allow" for i in range(400))
+        assert all(got[1000 + i]["rule"] == "com/de/" and got[1000 + i]["verdict"] == "block" for i in range(300))
+        if bound > 1:
+            assert all(got[3000 + i]["verdict"] == "block" for i in range(20))
+            assert all(got[2000 + i]["verdict"] == "allow" for i in range(20))
+
+
+
 def brute_url(url):
     host = path = ""
     if url is not None and "://" in url:
