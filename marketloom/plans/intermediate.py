@@ -22,11 +22,8 @@ from marketloom.functions import (
     ratio,
     sample_stddev,
     total,
-    weighted_mean,
 )
 
-
-
 def int_order_sellers(m, as_of=None) -> DataFrame:
     """Items rolled up to (order, seller)."""
     return m["stg_order_items"].groupBy("order_id", "seller_id").agg(
@@ -314,53 +311,118 @@ def months_in(ts: str):
     return F.size(F.collect_set(month_start(ts))).cast("bigint")
 
 
+def known(x, weight="item_rows"):
+    """``weight`` where ``x`` is true, or known, else 0: a term of a sum."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.when(x, F.col(weight)).otherwise(0)
+
+
+def times(x, weight="item_rows"):
+    """``weight`` times ``x``, 0 where it is unknown: a term of a sum."""
+    return F.coalesce(F.col(weight) * F.col(x), F.lit(0))
+
+
+def sum_ratio(num, den):
+    """The weighted mean of two sums (see ``weighted_mean``)."""
+    q = F.try_divide(F.col(num).cast("decimal(22,0)"), F.col(den).cast("decimal(18,0)"))
+    return q.cast("decimal(24,6)")
+
+
+def amount(sum_of_cents, rows):
+    """Money of a sum, NULL if it is over no row."""
+    return F.when(F.col(rows) > 0, from_cents(sum_of_cents))
+
+
 RATING_STEPS = [("4.5", "excellent"), ("4.0", "good"), ("3.0", "average")]
 
 
+# What an order adds to a product's or seller's sums.  All terms are whole numbers or exact
+# decimals, so they can be taken back row by row.
+
+
+def order_terms() -> dict:
+    return {
+        "review_num": times("review_score"),
+        "review_den": known(F.col("review_score").isNotNull()),
+        "positive_reviews": known("is_positive_review"),
+        "negative_reviews": known("is_negative_review"),
+        "took_num": times("delivery_time_days"),
+        "took_den": known(F.col("delivery_time_days").isNotNull()),
+        "on_time_deliveries": known("is_delivered_on_time"),
+        "late_deliveries": known(~F.col("is_delivered_on_time")),
+        "price_sum": F.coalesce("price_cents", F.lit(0)),
+        "shipping_sum": F.coalesce("shipping_cents", F.lit(0)),
+        "priced_rows": F.col("priced"),
+        "freighted_rows": F.col("freighted"),
+    }
+
+
+def seller_terms() -> dict:
+    return {
+        **order_terms(),
+        "total_orders": F.col("is_found").cast("bigint"),
+        "delivered_orders": known(F.col("order_status") == "delivered"),
+        "canceled_orders": known(F.col("order_status") == "canceled"),
+    }
+
+
+def product_terms() -> dict:
+    return {
+        **order_terms(),
+        "total_orders": F.col("order_id").isNotNull().cast("bigint"),
+        "reviews_with_comments": known("has_review_comment"),
+        "variance_num": times("delivery_variance_days"),
+        "variance_den": known(F.col("delivery_variance_days").isNotNull()),
+        "gmv_sum": F.coalesce("gmv_cents", F.lit(0)),
+        "gmv_rows": F.col("gmv_cents").isNotNull().cast("bigint"),
+        "square_sum": F.coalesce("price_sq", F.lit(0)).cast("decimal(34,4)"),
+        "items_sum": F.coalesce("item_numbers", F.lit(0)),
+        "numbered_rows": F.col("item_numbers").isNotNull().cast("bigint"),
+    }
+
+
+#: Least and greatest values, by column.
+SELLER_EXTREMES = {"first_at": ("min", "purchased_at"), "last_at": ("max", "purchased_at")}
+PRODUCT_EXTREMES = {
+    **SELLER_EXTREMES, "min_price": ("min", "min_price"), "max_price": ("max", "max_price"),
+}
+
+
+def _order_columns(m) -> DataFrame:
+    return m["int_orders_with_items"].select(
+        "order_id", F.lit(True).alias("_found"), "customer_id", "order_status", "purchased_at",
+        "review_score", "is_positive_review", "is_negative_review", "has_review_comment",
+        "delivery_time_days", "delivery_variance_days", "is_delivered_on_time",
+    )
+
+
+def order_seller_facts(m) -> DataFrame:
+    """(order, seller) with what the order says; orders that are not known have
+    nothing to say."""
+    return m["int_order_sellers"].join(_order_columns(m), "order_id", "left").withColumn(
+        "is_found", F.coalesce("_found", F.lit(False))
+    ).drop("_found")
+
+
+def order_product_facts(m) -> DataFrame:
+    """(order, product) with what the order says."""
+    return m["int_order_products"].join(_order_columns(m), "order_id", "left").drop("_found")
+
+
+def summed(terms: dict, extremes: dict) -> list:
+    return [
+        *[F.sum(e).alias(n) for n, e in terms.items()],
+        *[getattr(F, how)(c).alias(n) for n, (how, c) in extremes.items()],
+    ]
+
+
 def int_product_performance(m, as_of) -> DataFrame:
     """Sales, review and delivery measures per product."""
-    orders = m["int_orders_with_items"].select(
-        "order_id", "customer_id", "purchased_at", "review_score", "is_positive_review",
-        "is_negative_review", "has_review_comment", "delivery_time_days",
-        "delivery_variance_days", "is_delivered_on_time",
-    )
-    on_time = F.col("is_delivered_on_time")
-    per_product = (
-        m["int_order_products"]
-        .filter(F.col("product_id").isNotNull())
-        .join(orders, "order_id", "left")
-        .groupBy("product_id")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            from_cents(F.sum("price_cents")).alias("total_revenue"),
-            from_cents(F.sum("shipping_cents")).alias("total_shipping_revenue"),
-            from_cents(F.sum("gmv_cents")).alias("total_gmv"),
-            F.min("min_price").alias("min_price"),
-            F.max("max_price").alias("max_price"),
-            F.sum("price_sq").alias("_sq"),
-            F.sum("priced").alias("_priced"),
-            F.sum("freighted").alias("_freighted"),
-            weighted_mean("item_rows", "review_score").alias("avg_review_score"),
-            per_item("is_positive_review").alias("positive_reviews"),
-            per_item("is_negative_review").alias("negative_reviews"),
-            per_item("has_review_comment").alias("reviews_with_comments"),
-            per_item(F.col("review_score").isNotNull()).alias("review_count"),
-            weighted_mean("item_rows", "delivery_time_days").alias("avg_delivery_time_days"),
-            weighted_mean("item_rows", "delivery_variance_days").alias(
-                "avg_delivery_variance_days"
-            ),
-            per_item(on_time).alias("on_time_deliveries"),
-            per_item(~on_time).alias("late_deliveries"),
-            F.min("purchased_at").alias("first_ordered_at"),
-            F.max("purchased_at").alias("last_ordered_at"),
-            months_in("purchased_at").alias("active_months"),
-            F.sum("item_numbers").alias("total_items_sold"),
-        )
-        .withColumn("price_variance", sample_stddev("_priced", "total_revenue", "_sq"))
-        .withColumn("avg_price", ratio("total_revenue", "_priced", 6))
-        .withColumn("avg_shipping_fee", ratio("total_shipping_revenue", "_freighted", 6))
-        .drop("_sq", "_priced", "_freighted")
+    facts = order_product_facts(m).filter(F.col("product_id").isNotNull())
+    sums = facts.groupBy("product_id").agg(
+        *summed(product_terms(), PRODUCT_EXTREMES),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        months_in("purchased_at").alias("active_months"),
     )
     sellers = (
         m["stg_order_items"]
@@ -369,6 +431,36 @@ def int_product_performance(m, as_of) -> DataFrame:
         .groupBy("product_id")
         .agg(F.count("seller_id").alias("unique_sellers"))
     )
+    return product_measures(m, as_of, sums, sellers)
+
+
+def product_measures(m, as_of, sums: DataFrame, sellers: DataFrame) -> DataFrame:
+    """The columns of the product model from sums per product and from the number of
+    sellers per product."""
+    per_product = sums.select(
+        "product_id", "total_orders", "unique_customers",
+        amount("price_sum", "priced_rows").alias("total_revenue"),
+        amount("shipping_sum", "freighted_rows").alias("total_shipping_revenue"),
+        amount("gmv_sum", "gmv_rows").alias("total_gmv"),
+        "min_price", "max_price",
+        sum_ratio("review_num", "review_den").alias("avg_review_score"),
+        "positive_reviews", "negative_reviews", "reviews_with_comments",
+        F.col("review_den").alias("review_count"),
+        sum_ratio("took_num", "took_den").alias("avg_delivery_time_days"),
+        sum_ratio("variance_num", "variance_den").alias("avg_delivery_variance_days"),
+        "on_time_deliveries", "late_deliveries",
+        F.col("first_at").alias("first_ordered_at"), F.col("last_at").alias("last_ordered_at"),
+        "active_months",
+        F.when(F.col("numbered_rows") > 0, F.col("items_sum")).alias("total_items_sold"),
+        "square_sum", "priced_rows", "freighted_rows",
+    )
+    per_product = (
+        per_product.withColumn(
+            "price_variance", sample_stddev("priced_rows", "total_revenue", "square_sum"))
+        .withColumn("avg_price", ratio("total_revenue", "priced_rows", 6))
+        .withColumn("avg_shipping_fee", ratio("total_shipping_revenue", "freighted_rows", 6))
+        .drop("square_sum", "priced_rows", "freighted_rows")
+    )
     base = _zeroed(
         m["stg_products"]
         .join(m["stg_product_categories"], "category_id", "left")
@@ -420,37 +512,27 @@ def int_seller_performance(m, as_of=None) -> DataFrame:
     """Order, customer, review and delivery measures per seller.
 
     Order-level flags count once per item, so rates can exceed 100."""
-    orders = m["int_orders_with_items"].select(
-        F.col("order_id"), F.lit(True).alias("_found"), "customer_id", "order_status",
-        "purchased_at", "review_score", "is_positive_review", "is_negative_review",
-        "delivery_time_days", "is_delivered_on_time",
-    )
-    on_time = F.col("is_delivered_on_time")
-    per_seller = (
-        m["int_order_sellers"]
-        .filter(F.col("seller_id").isNotNull())
-        .join(orders, "order_id", "left")
-        .groupBy("seller_id")
-        .agg(
-            F.count("_found").alias("total_orders"),
-            per_item(F.col("order_status") == "delivered").alias("delivered_orders"),
-            per_item(F.col("order_status") == "canceled").alias("canceled_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            from_cents(F.sum("price_cents")).alias("total_gmv"),
-            F.sum("priced").alias("_priced"),
-            from_cents(F.sum("shipping_cents")).alias("total_shipping_collected"),
-            weighted_mean("item_rows", "review_score").alias("avg_review_score"),
-            per_item("is_positive_review").alias("positive_reviews"),
-            per_item("is_negative_review").alias("negative_reviews"),
-            weighted_mean("item_rows", "delivery_time_days").alias("avg_delivery_time_days"),
-            per_item(on_time).alias("on_time_deliveries"),
-            per_item(~on_time).alias("late_deliveries"),
-            F.min("purchased_at").alias("first_order_at"),
-            F.max("purchased_at").alias("last_order_at"),
-            months_in("purchased_at").alias("active_months"),
-        )
-        .withColumn("avg_order_item_value", ratio("total_gmv", "_priced", 6))
-        .drop("_priced")
+    facts = order_seller_facts(m).filter(F.col("seller_id").isNotNull())
+    return seller_measures(m, facts.groupBy("seller_id").agg(
+        *summed(seller_terms(), SELLER_EXTREMES),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        months_in("purchased_at").alias("active_months"),
+    ))
+
+
+def seller_measures(m, sums: DataFrame) -> DataFrame:
+    """The columns of the seller model from sums per seller."""
+    per_seller = sums.select(
+        "seller_id", "total_orders", "delivered_orders", "canceled_orders", "unique_customers",
+        amount("price_sum", "priced_rows").alias("total_gmv"),
+        amount("shipping_sum", "freighted_rows").alias("total_shipping_collected"),
+        sum_ratio("review_num", "review_den").alias("avg_review_score"),
+        "positive_reviews", "negative_reviews",
+        sum_ratio("took_num", "took_den").alias("avg_delivery_time_days"),
+        "on_time_deliveries", "late_deliveries",
+        F.col("first_at").alias("first_order_at"), F.col("last_at").alias("last_order_at"),
+        "active_months",
+        ratio(amount("price_sum", "priced_rows"), "priced_rows", 6).alias("avg_order_item_value"),
     )
     base = _zeroed(
         m["stg_sellers"]

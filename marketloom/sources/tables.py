@@ -28,10 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/marketloom/{spark.sparkContext.applicationId}"
 
 
-def write_scratch(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a reader over the written files."""
+def write_scratch(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once and return a reader over the written files.  A caller that
+    gives its own ``folder`` deletes it when it is done (``Folder.delete``)."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scratch/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{folder or shared_dir(spark) + '/scratch'}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

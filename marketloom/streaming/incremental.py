@@ -1,25 +1,56 @@
-"""Incremental refresh of the nine model tables from a stream of orders.
+"""Incremental refresh of the model tables from arriving changes.
 
-A micro-batch holds orders that arrived (new, late, or changed).  For each
-table the affected keys are found and *recomputed from the full history*, then
-upserted; aggregating only the new orders would replace lifetime totals by the
-totals of one day.  Change is detected by arrival, not by purchase time, so
-late orders and status updates count whenever they come."""
+Every source table may have a log of arrivals (``capture``): orders, but also
+items, payments and reviews that come after their order, changed customers, sellers,
+products and translations, and new coordinates.  A run (``propagate``) takes what
+came since the last one along the model graph:
+
+* orders, items, payments, reviews -> orders;
+* orders, by what they were and by what they are -> customers, sellers, products;
+* customers, sellers (also by zip prefix), products (also by category) -> themselves;
+* products -> categories.
+
+Order-level tables lie in months of purchase, and a run rewrites the months it touches.
+Source rows are read for the touched orders only.  Sums per (seller, month) and (product,
+month) take back what an order was and add what it is; entity rows are
+put together from these cells.  Least and greatest values cannot be taken back:
+a cell that lost a row gets them from its own month.
+
+A run is written down before it starts: the arrivals it takes and the versions of all
+tables then.  It reads old state from these versions only, so a run that was
+killed at any point is run again with the same result.  Of several versions of a
+source row the one that arrived last counts, in whatever order they are captured."""
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import month_start
-from marketloom.plans.staging import stg_orders
+from marketloom.plans.intermediate import (
+    PRODUCT_EXTREMES,
+    SELLER_EXTREMES,
+    order_product_facts,
+    order_seller_facts,
+    product_measures,
+    product_terms,
+    seller_measures,
+    seller_terms,
+)
+from marketloom.plans.staging import STAGING
 from marketloom.plans.warehouse import Warehouse
+from marketloom.sources.folder import Folder
 from marketloom.sources.schemas import SOURCES
-from marketloom.sources.tables import write_scratch
-from marketloom.streaming.keyed_table import KeyedTable, exists
+from marketloom.sources.tables import shared_dir, write_scratch
+from marketloom.streaming.keyed_table import KeyedTable
+from marketloom.streaming.versioned import VersionedTable, buckets, months
 
 KEYS = {
     "int_orders_with_items": "order_id",
@@ -35,156 +66,453 @@ KEYS = {
 
 SAME_AS = {"mart_orders": "int_orders_with_items", "mart_products": "int_product_performance"}
 
+#: What identifies a row of each source; the whole row, if nothing is listed.
+SOURCE_KEYS = {
+    "orders": ["order_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "order_payments": ["order_id", "payment_sequential"],
+    "order_reviews": ["review_id", "order_id"],
+    "customers": ["customer_id"],
+    "sellers": ["seller_id"],
+    "products": ["product_id"],
+    "product_categories": ["product_category_name"],
+    "geolocation": [],
+}
+OF_ORDERS = ("orders", "order_items", "order_payments", "order_reviews")
+#: Arrivals of a source that are kept apart before they are put together.
+COMPACT = 50
+#: Versions of every table that stay readable.
+KEEP = 3
+
 
 class IncrementalModels:
-    """Nine keyed tables under ``root``, kept up to date batch by batch.
+    """Nine keyed tables under ``root``, kept up to date run by run.
 
-    ``sources`` gives the child and dimension tables (items, payments, reviews,
-    customers, ...); the orders themselves come with the batches."""
+    ``sources`` gives the source tables that have no log of arrivals."""
 
     def __init__(self, spark: SparkSession, root: str, sources, as_of=None, buckets: int = 64):
-        self.spark, self.root, self.sources, self.as_of = spark, root, sources, as_of
-        table = lambda name, key: KeyedTable(spark, f"{root}/{name}", key, buckets)
-        self.orders = table("orders", "order_id")
+        self.spark, self.root, self.sources, self.as_of, self.buckets = spark, root, sources, as_of, buckets
+        keyed = lambda name, key, month=None: KeyedTable(
+            spark, f"{root}/{name}", key, buckets, month_of=month)
+        self.orders = keyed("orders", "order_id", "order_purchase_timestamp")
         self.tables = {
-            name: table(name, key) for name, key in KEYS.items() if name not in SAME_AS
+            name: keyed(name, key, "purchased_at" if name == "int_orders_with_items" else None)
+            for name, key in KEYS.items() if name not in SAME_AS
         }
         # pass-through marts are the same rows: no second copy is kept
         self.tables |= {name: self.tables[of] for name, of in SAME_AS.items()}
+        self.facts = {
+            entity: VersionedTable(
+                spark, f"{root}/order_{entity}", "order_id", months("purchased_at"), fixed=False)
+            for entity in ("sellers", "products")
+        }
+        self.cells = {
+            entity: KeyedTable(spark, f"{root}/{entity}_months", [f"{entity[:-1]}_id", "month"], buckets)
+            for entity in ("sellers", "products")
+        }
+        self.logs = {
+            name: VersionedTable(spark, f"{root}/arrivals/{name}", "_batch", lambda: F.col("_batch"))
+            for name in SOURCES
+        }
+        self._runs = Folder(spark, f"{root}/runs")
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
-    def _models(self, tables=(), **given: DataFrame) -> Warehouse:
-        w = Warehouse(self.spark, self.sources, self.as_of, tables=tables)
+    # ------------------------------------------------------------- arrivals
+
+    def capture(self, source: str, batch: DataFrame, query: str = "", batch_id: int | None = None) -> None:
+        """Keep a batch of arrived rows of a source until the next run.
+
+        ``query`` and ``batch_id`` name the batch: again with the same rows it
+        changes nothing, with other rows it is refused (``Conflict``).  Rows tell
+        when they arrived (``_arrived``); without it they count as the latest."""
+        log = self.logs[source]
+        now = log.version()
+        if "_arrived" in batch.columns:
+            arrived = F.col("_arrived").cast("timestamp")
+        else:
+            newest = log.read(now).agg(F.max("_arrived")).first()[0] if now.schema else None
+            arrived = F.lit(newest).cast("timestamp")
+        label = re.sub("[^0-9A-Za-z]", "-", f"{query}-{batch_id}" if batch_id is not None else uuid.uuid4().hex[:12])
+        scratch = f"{shared_dir(self.spark)}/scratch/capture-{uuid.uuid4().hex[:12]}"
+        rows = write_scratch(batch.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCES[source].schema],
+            arrived.alias("_arrived"), F.lit(now.number + 1).alias("_seq"), F.lit(label).alias("_batch"),
+        ), source, scratch)
+        if batch_id is None and rows.isEmpty():
+            return
+        told = [x for f in SOURCES[source].schema for x in (F.col(f.name).isNull(), F.col(f.name))]
+        seen = rows.agg(F.count("*"), F.bit_xor(F.xxhash64(*told))).first()
+        log.replace(rows, name=label if batch_id is not None else "", made_of=f"{seen[0]}/{seen[1]}")
+        Folder(self.spark, scratch).delete()
+
+    def _latest(self, source: str, at: dict, only: DataFrame | None = None, on: str = "") -> DataFrame:
+        """The rows of a source as they are now, of some keys or all."""
+        version = at[source]
+        if version.schema is None:
+            rows = self.sources[source]
+            return rows if only is None else rows.join(only, on, "left_semi")
+        rows = self.logs[source].read(version)
+        rows = rows if only is None else rows.join(only, on, "left_semi")
+        return last_versions(rows, source)
+
+    # ------------------------------------------------------------------ runs
+
+    def process(self, batch: DataFrame, batch_id: int | None = None, query: str = "orders") -> None:
+        """Capture a batch of orders and propagate it."""
+        self.capture("orders", batch, query, batch_id)
+        self.propagate()
+
+    def refresh_orders(self, changed: DataFrame, batch_id: int | None = None) -> None:
+        """Recompute known orders whose items, payments or reviews changed in a source
+        without a log of arrivals.  ``changed`` has a column ``order_id``."""
+        ids = changed.select("order_id").distinct()
+        self.process(self.orders.read().join(ids, "order_id", "left_semi"), batch_id, "refresh")
+
+    def _versioned(self) -> dict[str, VersionedTable]:
+        unique = {n: t for n, t in self.tables.items() if n not in SAME_AS}
+        return {
+            "orders": self.orders, **unique, **{f"facts_{k}": t for k, t in self.facts.items()},
+            **{f"cells_{k}": t for k, t in self.cells.items()},
+        }
+
+    def propagate(self) -> bool:
+        """Bring all tables up to date with what has been captured; whether there was
+        anything to do.  A run that was interrupted is finished first."""
+        done, again = False, True
+        while again:
+            run = self._open_run()
+            again = run is not None and run.pop("resumed")
+            if run is not None:
+                self._run(run)
+                done = True
+        return done
+
+    def _open_run(self) -> dict | None:
+        numbers = sorted({int(n.split(".")[0]) for n in self._runs.names() if n[:1].isdigit()})
+        processed: dict = {}
+        first = True
+        for n in reversed(numbers):
+            if self._runs.exists(f"{n:09d}.done"):
+                processed, first = json.loads(self._runs.read(f"{n:09d}.done")), False
+                break
+            try:
+                return json.loads(self._runs.read(f"{n:09d}.json")) | {"resumed": True}
+            except json.JSONDecodeError:
+                continue  # cut off while it was written: it never started
+        logs = {name: log.version() for name, log in self.logs.items()}
+        new = {
+            name: sorted(set(v.parts) - set(processed.get(name, []))) for name, v in logs.items() if v.schema
+        }
+        if not any(new.values()):
+            return None
+        run = {
+            "run": (numbers[-1] + 1) if numbers else 1, "first": first, "new": new,
+            "logs": {name: v.number for name, v in logs.items()},
+            "before": {name: t.version().number for name, t in self._versioned().items()},
+        }
+        self._runs.create(f"{run['run']:09d}.json", json.dumps(run))
+        return run | {"resumed": False}
+
+    def _close_run(self, run: dict) -> None:
+        processed = {name: sorted(self.logs[name].version(n).parts) for name, n in run["logs"].items() if n}
+        for name, parts in processed.items():
+            log = self.logs[name]
+            now = log.version()
+            if len(parts) > COMPACT and set(now.parts) == set(parts):
+                base = f"base-{run['run']}"
+                scratch = f"{shared_dir(self.spark)}/scratch/compact-{uuid.uuid4().hex[:12]}"
+                whole = last_versions(log.read(now), name, keep=True).withColumn("_batch", F.lit(base))
+                batches = self.spark.createDataFrame([(p,) for p in parts], "_batch string")
+                log.replace(write_scratch(whole, name, scratch), batches, at=now)
+                Folder(self.spark, scratch).delete()
+                processed[name] = [base]
+        for table in [*self._versioned().values(), *self.logs.values()]:
+            table.vacuum(KEEP)
+        self._runs.create(f"{run['run']:09d}.done", json.dumps(processed))
+        for n in self._runs.names():  # two runs back, nothing asks for them
+            if n[:1].isdigit() and int(n.split(".")[0]) < run["run"] - 1:
+                self._runs.delete(n)
+
+    def _run(self, run: dict) -> None:
+        scratch = f"{shared_dir(self.spark)}/scratch/run-{uuid.uuid4().hex[:12]}"
+        try:
+            Run(self, run, scratch).all()
+        finally:
+            Folder(self.spark, scratch).delete()
+        self._close_run(run)
+
+
+class Run:
+    """One pass of changes through the tables."""
+
+    def __init__(self, models: IncrementalModels, run: dict, scratch: str):
+        self.m, self.record, self.scratch = models, run, scratch
+        self.spark, self.name = models.spark, f"run-{run['run']}"
+        self.logs = {n: models.logs[n].version(v) for n, v in run["logs"].items()}
+        self.before = {n: t.version(run["before"][n]) for n, t in models._versioned().items()}
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        return write_scratch(df, label, self.scratch)
+
+    def put(self, table: VersionedTable, rows: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+        rows = self.keep(rows, "rows")
+        table.replace(rows, keys, name=self.name, made_of=self.name, scratch=self.scratch)
+        return rows
+
+    def old(self, name: str) -> DataFrame | None:
+        """A table as it was before the run."""
+        version = self.before[name]
+        return self.m._versioned()[name].read(version) if version.schema is not None else None
+
+    def arrived(self, source: str, *columns: str) -> DataFrame | None:
+        """What is new of a source; all of it, on the first run."""
+        version = self.logs[source]
+        if version.schema is None:
+            return self.m.sources[source].select(*columns) if self.record["first"] else None
+        new = self.record["new"].get(source)
+        return self.m.logs[source].read(version, set(new)).select(*columns) if new else None
+
+    def latest(self, source: str, only: DataFrame | None = None, on: str = "") -> DataFrame:
+        return self.m._latest(source, self.logs, only, on)
+
+    def staged(self, source: str, **scope) -> DataFrame:
+        return STAGING[f"stg_{source.removeprefix('order_') if source == 'orders' else source}"](
+            {source: self.latest(source, **scope)})
+
+    def models(self, **given: DataFrame) -> Warehouse:
+        w = Warehouse(self.spark, self.m.sources, self.m.as_of, tables=())
+        for source in SOURCES:
+            w.put(source, self.latest(source))
         for name, df in given.items():
             w.put(name, df)
         return w
 
-    def _upsert(self, name: str, df: DataFrame) -> DataFrame:
-        frozen = write_scratch(df, name)
-        self.tables[name].upsert(frozen, frozen=True)
-        return frozen
-
-    def _frozen(self, batch_id, label: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """``make()``, written once for each batch id, so that a replay after a
-        failure starts from what the first attempt saw.  A second table marks the
-        first as complete."""
-        if batch_id is None:
-            return write_scratch(make(), label)
-        path = f"{self.root}/batches/{batch_id}/{label}"
-        if not exists(self.spark, f"{path}-complete"):
-            make().write.mode("overwrite").parquet(path)
-            self.spark.range(1).write.mode("overwrite").parquet(f"{path}-complete")
-        return self.spark.read.parquet(path)
-
-    def _affected(self, name: str, entities: DataFrame, touched: DataFrame) -> DataFrame:
-        """Keys to recompute: all on the first run, later the touched ones and
-        those the table does not know yet."""
-        target, key = self.tables[name], KEYS[name]
-        if not target.exists():
-            return entities.select(key).distinct()
-        unseen = entities.select(key).join(target.read().select(key), key, "left_anti")
-        return touched.select(key).union(unseen).distinct()
-
-    def process(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Apply one batch of raw orders.  Of several versions of an order in
-        one batch the one that arrived last wins (column ``_arrived``, if there is
-        one).  The versions and all affected keys are written down before the
-        first table is touched: running a batch id again, after a failure at any
-        point, ends in the same tables."""
-        batch = self._frozen(batch_id, "orders", lambda: _last_version(batch))
-        base = self._models()
-        ids = batch.select("order_id")
-        items, payments, reviews = (
-            base[t] for t in ("stg_order_items", "stg_order_payments", "stg_order_reviews")
-        )
-        known = self.tables["int_orders_with_items"]
-
-        def customers():
-            # also those of the previous versions, in case an order changed hands
-            touched = batch.select("customer_id")
-            if known.exists():
-                before = known.read().join(ids, "order_id", "left_semi").select("customer_id")
-                touched = touched.union(before)
-            return self._affected("int_customer_orders", base["stg_customers"], touched)
-
-        of_orders = items.join(ids, "order_id", "left_semi")
-        touched = self._frozen(
-            batch_id, "touched", lambda: of_orders.select("seller_id", "product_id").distinct()
-        )
-        keys = {
-            "customers": self._frozen(batch_id, "customers", customers),
-            "sellers": self._frozen(batch_id, "sellers", lambda: self._affected(
-                "int_seller_performance", base["stg_sellers"], touched)),
-            "products": self._frozen(batch_id, "products", lambda: self._affected(
-                "int_product_performance", base["stg_products"], touched)),
+    def all(self) -> None:
+        ids = self.keep(_union([self.arrived(s, "order_id") for s in OF_ORDERS], "order_id string", self.spark), "ids")
+        fresh = self.orders(ids)
+        base = self.models()
+        moved = {e: self.facts(e, ids, fresh) for e in ("sellers", "products")}
+        keys = self.entities(base, ids, fresh, moved)
+        cells = {
+            "sellers": (seller_terms, SELLER_EXTREMES), "products": (product_terms, PRODUCT_EXTREMES),
         }
-        self.orders.upsert(batch, frozen=True)
-        of_batch = self._models(
-            stg_orders=stg_orders({"orders": batch}),
-            stg_order_items=of_orders,
-            stg_order_payments=payments.join(ids, "order_id", "left_semi"),
-            stg_order_reviews=reviews.join(ids, "order_id", "left_semi"),
-        )
-        self._upsert("int_orders_with_items", of_batch["int_orders_with_items"])
-
-        history = self["int_orders_with_items"]
+        for entity, (terms, extremes) in cells.items():
+            self.update_cells(entity, ids, moved[entity], terms(), extremes)
         # the branches are independent: let their stages share the cluster
         with ThreadPoolExecutor(3) as pool:
             jobs = [
-                pool.submit(self._customers, base, history, keys["customers"]),
-                pool.submit(self._sellers, base, history, items, keys["sellers"]),
-                pool.submit(self._products, base, history, items, keys["products"]),
+                pool.submit(self.customers, base, keys["customers"]),
+                pool.submit(self.sellers, base, keys["sellers"]),
+                pool.submit(self.products, base, keys["products"]),
             ]
             for job in jobs:
                 job.result()
 
-    def refresh_orders(self, changed: DataFrame, batch_id: int | None = None) -> None:
-        """Recompute known orders, and all that follows from them, whose items,
-        payments or reviews came or changed after the order itself.  ``changed``
-        has a column ``order_id``."""
-        ids = changed.select("order_id").distinct()
-        self.process(self.orders.read().join(ids, "order_id", "left_semi"), batch_id)
+    # ---------------------------------------------------------- order level
 
-    def _customers(self, base, history: DataFrame, keys: DataFrame) -> None:
-        who = base["stg_customers"].join(keys, "customer_id", "left_semi")
-        scope = self._models(
-            stg_customers=who,
-            int_orders_with_items=history.join(keys, "customer_id", "left_semi"),
+    def orders(self, ids: DataFrame) -> Warehouse:
+        """The touched orders and all that belongs to them."""
+        rows = self.latest("orders", ids, "order_id")
+        rows = self.keep(rows.select(*[f.name for f in SOURCES["orders"].schema]), "orders")
+        self.put(self.m.orders, rows, ids)
+        fresh = self.models(
+            orders=rows, **{s: self.latest(s, ids, "order_id") for s in OF_ORDERS[1:]}
         )
-        self._upsert("int_customer_orders", scope["int_customer_orders"])
-        self._upsert("mart_customers", scope["mart_customers"])
-
-    def _sellers(self, base, history: DataFrame, items: DataFrame, keys: DataFrame) -> None:
-        scope = self._models(
-            tables=["int_order_sellers"],
-            stg_sellers=base["stg_sellers"].join(keys, "seller_id", "left_semi"),
-            stg_orders=stg_orders({"orders": self.orders.read()}),
-            stg_order_items=items.join(keys, "seller_id", "left_semi"),
-            int_orders_with_items=history,
+        wide = self.put(self.m.tables["int_orders_with_items"], fresh["int_orders_with_items"], ids)
+        fresh.put("int_orders_with_items", wide)
+        return fresh
+
+    def facts(self, entity: str, ids: DataFrame, fresh: Warehouse) -> DataFrame:
+        """(order, seller) or (order, product) of the touched orders."""
+        if entity == "sellers":
+            rows = order_seller_facts(fresh)
+        else:
+            sellers = fresh["stg_order_items"].groupBy("order_id", "product_id").agg(
+                F.sort_array(F.collect_set("seller_id")).alias("sellers"))  # of one order
+            match = F.col("p.order_id").eqNullSafe(F.col("s.order_id")) & F.col("p.product_id").eqNullSafe(
+                F.col("s.product_id"))
+            rows = order_product_facts(fresh).alias("p").join(sellers.alias("s"), match, "left").select("p.*", "s.sellers")
+        return self.put(self.m.facts[entity], rows, ids)
+
+    # --------------------------------------------------------- what to redo
+
+    def entities(self, base: Warehouse, ids: DataFrame, fresh: Warehouse, moved: dict) -> dict[str, DataFrame]:
+        """Customers, sellers and products to redo: those of the touched orders, as they
+        were and as they are, those that changed themselves, and those not seen yet."""
+        was = {
+            "customers": self.old("int_orders_with_items"), "sellers": self.old("facts_sellers"),
+            "products": self.old("facts_products"),
+        }
+        now = {"customers": fresh["int_orders_with_items"], **moved}
+        zips = self.arrived("geolocation", "geolocation_zip_code_prefix")
+        categories = self.arrived("product_categories", "product_category_name")
+        out = {}
+        for entity, table in (
+            ("customers", "int_customer_orders"), ("sellers", "int_seller_performance"),
+            ("products", "int_product_performance"),
+        ):
+            key, staged = f"{entity[:-1]}_id", base[f"stg_{entity}"]
+            found = [now[entity].select(key), self.arrived(entity, key)]
+            if was[entity] is not None:
+                found.append(was[entity].join(ids, "order_id", "left_semi").select(key))
+            known = self.old(table)
+            if known is None:
+                found.append(staged.select(key))
+            else:
+                found.append(staged.select(key).join(known.select(key), key, "left_anti"))
+                if entity != "products" and zips is not None:
+                    places = STAGING["stg_geolocation"]({"geolocation": self.latest("geolocation", zips, "geolocation_zip_code_prefix")})
+                    found.append(staged.join(places, "zip_code_prefix", "left_semi").select(key))
+                if entity == "products" and categories is not None:
+                    changed = categories.select(F.col("product_category_name").alias("category_id"))
+                    found.append(staged.join(changed, "category_id", "left_semi").select(key))
+            found = _union(found, f"{key} string", self.spark).filter(F.col(key).isNotNull())
+            out[entity] = self.keep(found, entity)
+        return out
+
+    # ------------------------------------------------------- months of sums
+
+    def update_cells(self, entity: str, ids: DataFrame, added: DataFrame, terms: dict, extremes: dict) -> None:
+        """Take what the touched orders were out of the sums of (entity, month), and
+        add what they are."""
+        table, key = self.m.cells[entity], f"{entity[:-1]}_id"
+        month = month_start("purchased_at").alias("month")
+        row = lambda df, sign: df.filter(F.col(key).isNotNull()).select(
+            key, month, F.lit(sign).alias("_sign"), *[e.alias(n) for n, e in terms.items()],
+            *[F.col(c).alias(f"_{n}") for n, (_, c) in extremes.items()],
         )
-        self._upsert("int_seller_performance", scope["int_seller_performance"])
-        self._upsert("mart_sellers", scope["mart_sellers"])
-
-    def _products(self, base, history: DataFrame, items: DataFrame, keys: DataFrame) -> None:
-        scope = self._models(
-            stg_products=base["stg_products"].join(keys, "product_id", "left_semi"),
-            stg_order_items=items.join(keys, "product_id", "left_semi"),
-            int_orders_with_items=history,
+        signed = row(added, 1)
+        was = self.old(f"facts_{entity}")
+        if was is not None:
+            signed = signed.union(row(was.join(ids, "order_id", "left_semi"), -1))
+        plus = F.col("_sign") == 1
+        change = self.keep(signed.groupBy(key, "month").agg(
+            F.sum("_sign").alias("n"), (F.min("_sign") < 0).alias("_lost"),
+            *[F.sum(F.col("_sign") * F.col(n)).cast(_sum_type(signed, n)).alias(n) for n in terms],
+            *[getattr(F, how)(F.when(plus, F.col(f"_{n}"))).alias(n) for n, (how, _) in extremes.items()],
+        ), f"{entity}-change")
+        cells = self.old(f"cells_{entity}")
+        keys = [key, "month"]
+        if cells is None:
+            self.put(table, change.drop("_lost"), change.select(keys))
+            return
+        same = F.col(f"c.{key}").eqNullSafe(F.col(f"o.{key}")) & F.col("c.month").eqNullSafe(F.col("o.month"))
+        merged = change.alias("c").join(cells.alias("o"), same, "left").select(
+            *[F.col(f"c.{k}") for k in keys], "c._lost",
+            *[
+                (F.col(f"c.{n}") + F.coalesce(f"o.{n}", F.lit(0))).cast(change.schema[n].dataType).alias(n)
+                for n in ("n", *terms)
+            ],
+            *[
+                getattr(F, {"min": "least", "max": "greatest"}[how])(f"c.{n}", f"o.{n}").alias(n)
+                for n, (how, _) in extremes.items()
+            ],
+        ).filter("n > 0")
+        merged = self.keep(merged, f"{entity}-cells")
+        # months of cells that lost a row: their least and greatest values anew
+        lost = merged.filter("_lost").select(*keys)
+        touched = {
+            r[0] for r in lost.select(
+                F.coalesce(F.date_format("month", "yyyy-MM"), F.lit("none"))).distinct().collect()
+        }
+        if touched:
+            again = self.m.facts[entity].read(parts=touched).withColumn("month", month).alias("f").join(
+                lost.alias("l"), F.col(f"f.{key}").eqNullSafe(F.col(f"l.{key}"))
+                & F.col("f.month").eqNullSafe(F.col("l.month")), "left_semi",
+            ).groupBy(*keys).agg(*[getattr(F, how)(c).alias(f"_{n}") for n, (how, c) in extremes.items()])
+            again = again.alias("a")
+            same = F.col(f"m.{key}").eqNullSafe(F.col(f"a.{key}")) & F.col("m.month").eqNullSafe(F.col("a.month"))
+            merged = merged.alias("m").join(again, same, "left").select(
+                *[F.col(f"m.{c}") for c in (*keys, "_lost", "n", *terms)],
+                *[F.when(F.col("m._lost"), F.col(f"a._{n}")).otherwise(F.col(f"m.{n}")).alias(n) for n in extremes],
+            )
+        self.put(table, merged.drop("_lost"), change.select(*keys))
+
+    def sums(self, entity: str, keys: DataFrame, terms: dict, extremes: dict) -> DataFrame:
+        """Sums per entity from its months."""
+        key = f"{entity[:-1]}_id"
+        cells = self.m.cells[entity].read().join(keys, key, "left_semi")
+        merged = cells.groupBy(key).agg(
+            *[F.sum(n).cast(cells.schema[n].dataType).alias(n) for n in terms],
+            *[getattr(F, how)(n).alias(n) for n, (how, _) in extremes.items()],
+            F.count("month").alias("active_months"),
         )
-        rows = self._upsert("int_product_performance", scope["int_product_performance"])
+        customers = self.m.facts[entity].read().select(key, "customer_id").join(keys, key, "left_semi").groupBy(
+            key).agg(F.count_distinct("customer_id").alias("unique_customers"))
+        return merged.join(customers, key)
+
+    # --------------------------------------------------------- entity level
 
-        categories = rows.select(F.col("category_name_english").alias("_c")).distinct()
-        members = self["mart_products"].join(
-            categories, F.col("category_name_english").eqNullSafe(F.col("_c")), "left_semi"
+    def customers(self, base: Warehouse, keys: DataFrame) -> None:
+        scope = self.models(
+            stg_customers=base["stg_customers"].join(keys, "customer_id", "left_semi"),
+            int_orders_with_items=self.m["int_orders_with_items"].join(keys, "customer_id", "left_semi"),
         )
-        scope = self._models(
+        self.put(self.m.tables["int_customer_orders"], scope["int_customer_orders"], keys)
+        self.put(self.m.tables["mart_customers"], scope["mart_customers"], keys)
+
+    def sellers(self, base: Warehouse, keys: DataFrame) -> None:
+        who = base["stg_sellers"].join(keys, "seller_id", "left_semi")
+        sums = self.sums("sellers", keys, seller_terms(), SELLER_EXTREMES)
+        self.put(
+            self.m.tables["int_seller_performance"],
+            seller_measures(self.models(stg_sellers=who), sums), keys,
+        )
+        sold = self.m.facts["products"].read().select("order_id", "product_id", F.explode("sellers").alias("seller_id"))
+        scope = self.models(
+            stg_sellers=who,
+            stg_orders=STAGING["stg_orders"]({"orders": self.m.orders.read()}),
+            stg_order_items=sold.join(keys, "seller_id", "left_semi"),
+            int_order_sellers=_rollup(self.m.facts["sellers"].read()).join(keys, "seller_id", "left_semi"),
+            int_orders_with_items=self.m["int_orders_with_items"],
+        )
+        self.put(self.m.tables["mart_sellers"], scope["mart_sellers"], keys)
+
+    def products(self, base: Warehouse, keys: DataFrame) -> None:
+        facts = self.m.facts["products"].read()
+        sellers = facts.join(keys, "product_id", "left_semi").select(
+            "product_id", F.explode("sellers").alias("seller_id")
+        ).distinct().groupBy("product_id").agg(F.count("seller_id").alias("unique_sellers"))
+        scope = self.models(stg_products=base["stg_products"].join(keys, "product_id", "left_semi"))
+        rows = self.put(self.m.tables["int_product_performance"], product_measures(
+            scope, scope.as_of, self.sums("products", keys, product_terms(), PRODUCT_EXTREMES), sellers), keys)
+
+        # also the categories that products have left
+        touched = rows.select(F.col("category_name_english").alias("category_name"))
+        was = self.old("int_product_performance")
+        if was is not None:
+            touched = touched.union(
+                was.join(keys, "product_id", "left_semi").select("category_name_english"))
+        touched = self.keep(touched.distinct(), "categories")
+        same = F.col("category_name_english").eqNullSafe(F.col("category_name"))
+        members = self.m["mart_products"].join(touched, same, "left_semi")
+        scope = self.models(
             mart_products=members,
-            stg_order_items=items.join(members.select("product_id"), "product_id", "left_semi"),
-            int_orders_with_items=history,
+            int_order_products=_rollup(facts).join(members.select("product_id"), "product_id", "left_semi"),
+            int_orders_with_items=self.m["int_orders_with_items"],
         )
-        self._upsert("mart_product_categories", scope["mart_product_categories"])
+        self.put(self.m.tables["mart_product_categories"], scope["mart_product_categories"], touched)
+
+
+def _union(parts: list[DataFrame | None], schema: str, spark: SparkSession) -> DataFrame:
+    found = [p for p in parts if p is not None] or [spark.createDataFrame([], schema)]
+    return reduce(DataFrame.union, found).distinct()
+
+
+def _rollup(facts: DataFrame) -> DataFrame:
+    """Order facts without what the order says, as the rollups of items are."""
+    return facts.drop(
+        "is_found", "customer_id", "order_status", "purchased_at", "review_score", "is_positive_review",
+        "is_negative_review", "has_review_comment", "delivery_time_days", "delivery_variance_days",
+        "is_delivered_on_time", "sellers",
+    )
+
+
+def _sum_type(df: DataFrame, name: str) -> str:
+    kind = df.schema[name].dataType.simpleString()
+    return kind if kind.startswith("decimal") else "bigint"
 
 
 #: Order states from first to last.
@@ -194,35 +522,38 @@ PROGRESS = (
 )
 
 
-def _last_version(batch: DataFrame) -> DataFrame:
-    """One row per order: the version that arrived last; of versions that arrived
-    together the one further on (an unknown date sorts lowest).  A mergeable
-    ``max``, so that an order repeated a billion times in a batch is reduced
-    before the shuffle."""
-    state = F.coalesce(
-        F.array_position(F.array(*map(F.lit, PROGRESS)), F.col("order_status")), F.lit(0)
-    )
-    arrived = F.col("_arrived") if "_arrived" in batch.columns else F.lit(None).cast("timestamp")
-    columns = [c for c in batch.columns if c != "_arrived"]
-    first = [
-        state.alias("_state"),
-        *map(F.col, (
-            "order_delivered_customer_date", "order_delivered_carrier_date", "order_approved_at",
+def last_versions(log: DataFrame, source: str, keep: bool = False) -> DataFrame:
+    """One row per key of a source: the version that arrived last, of those the one
+    captured last, of those, for orders, the one further on (an unknown date sorts
+    lowest).  A mergeable ``max``, so that a row repeated a billion times is
+    reduced before the shuffle.  ``keep`` keeps the columns of the log."""
+    columns = [f.name for f in SOURCES[source].schema]
+    key = SOURCE_KEYS[source] or columns
+    first = ["_arrived", "_seq"]
+    if source == "orders":
+        state = F.array_position(F.array(*map(F.lit, PROGRESS)), F.col("order_status"))
+        log = log.withColumn("_state", F.coalesce(state, F.lit(0)))
+        first += [
+            "_state", "order_delivered_customer_date", "order_delivered_carrier_date", "order_approved_at",
             "order_status",
-        )),
-    ]
-    named = ("order_delivered_customer_date", "order_delivered_carrier_date",
-             "order_approved_at", "order_status", "order_id")
-    rest = [F.col(c) for c in columns if c not in named]
-    version = F.struct(arrived.alias("_arrived"), *first, *rest)
-    last = batch.groupBy("order_id").agg(F.max(version).alias("_r"))
-    return last.select("order_id", "_r.*").select(*columns)
+        ]
+    rest = [c for c in columns if c not in first and c not in key]
+    last = log.groupBy(*key).agg(F.max(F.struct(*first, *rest)).alias("_r"))
+    value = lambda c: F.col(c) if c in key else F.col(f"_r.{c}").alias(c)
+    return last.select(*map(value, columns), *map(value, first[:2] if keep else []))
 
 
 def order_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming reader over a folder of arriving order files; ``_arrived`` is the
-    time at which a row's file came."""
-    reader = spark.readStream.schema(SOURCES["orders"].schema)
+    """Streaming reader over a folder of arriving order files."""
+    return source_stream(spark, "orders", landing, files_per_batch)
+
+
+def source_stream(
+    spark: SparkSession, source: str, landing: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Streaming reader over a folder of arriving files of one source; ``_arrived``
+    is the time at which a row's file came."""
+    reader = spark.readStream.schema(SOURCES[source].schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(landing)
@@ -246,6 +577,24 @@ def run_available(
     query.awaitTermination()
 
 
+def run_changes(models: IncrementalModels, landing: str, progress: str) -> bool:
+    """Capture what has arrived of every source (one folder and one stream each),
+    then propagate it; whether there was anything.
+
+    The name of a stream's checkpoint is part of a batch's name, so a new stream,
+    whose batches start again at 0, is not taken for the old one."""
+    for source in SOURCES:
+        if not Folder(models.spark, f"{landing}/{source}").names():
+            continue
+        stream = source_stream(models.spark, source, f"{landing}/{source}")
+        run_available(
+            stream,
+            lambda df, batch_id, source=source: models.capture(source, df, progress, batch_id),
+            f"{progress}/{source}",
+        )
+    return models.propagate()
+
+
 def monthly_orders(stream: DataFrame) -> DataFrame:
     """Running count of orders per purchase month (state: one row per month)."""
     return stream.groupBy(month_start("order_purchase_timestamp").alias("month")).agg(
