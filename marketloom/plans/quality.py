@@ -1,7 +1,8 @@
 """Data-quality evaluation: every rule yields its number of failing rows.
 
-All row-level rules of a model share one scan and one aggregate; key rules
-aggregate per key with map-side combine; relationships compare distinct keys.
+All row-level rules of a model share one scan and one aggregate, which also gives its
+number of rows (``one_pass``); key rules aggregate per key with map-side combine;
+relationships compare distinct keys.
 The results are small relations of their own: (test, model, column, variant,
 severity, failing_rows)."""
 
@@ -47,8 +48,17 @@ def _result(df: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _row_rules(df: DataFrame, rules: list[Rule], now: str) -> DataFrame:
-    counts = df.agg(*[F.count_if(_fails(r, now)).alias(f"r{i}") for i, r in enumerate(rules)])
+#: The name under which a model's number of rows stands among the counts.
+ROWS = "rows"
+COUNT_KINDS = {"equal_rowcount", "non_empty_table"}
+
+
+def _counted(df: DataFrame, model: str, rules: list[Rule], now: str) -> DataFrame:
+    """The failing rows of all row-level rules of a model, and its number of rows."""
+    counts = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(_fails(r, now)).alias(f"r{i}") for i, r in enumerate(rules)],
+    )
     rows = [
         F.struct(
             F.lit(r.name).alias("test"),
@@ -59,9 +69,45 @@ def _row_rules(df: DataFrame, rules: list[Rule], now: str) -> DataFrame:
         )
         for i, r in enumerate(rules)
     ]
+    text = lambda v, name: F.lit(v).cast("string").alias(name)
+    rows.append(F.struct(
+        text(ROWS, "test"), text(model, "model"), text(None, "column"), text(None, "severity"),
+        F.col("rows").alias("failing_rows"),
+    ))
     return counts.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def one_pass(m, rules: list[Rule], now: str) -> DataFrame:
+    """Counts of all row-level rules and of rows: one scan and one aggregate for each
+    model that a rule of these kinds is about."""
+    counted = [r for r in rules if r.kind in ROW_KINDS | COUNT_KINDS]
+    models = dict.fromkeys(r.model for r in counted)
+    models |= dict.fromkeys(r.args[0] for r in counted if r.kind == "equal_rowcount")
+    return _together([
+        _counted(m[model], model, [r for r in counted if r.model == model and r.kind in ROW_KINDS], now)
+        for model in models
+    ])
+
+
+def _rows_of(counts: DataFrame, model: str) -> Column:
+    return counts.filter((F.col("test") == ROWS) & (F.col("model") == model)).select("failing_rows").scalar()
+
+
+def _count_rule(counts: DataFrame, rule: Rule) -> DataFrame:
+    own = counts.filter((F.col("test") == ROWS) & (F.col("model") == rule.model))
+    n = F.col("failing_rows")
+    if rule.kind == "non_empty_table":
+        return own.select((n == 0).cast("int").alias("failing_rows"))
+    return own.select(F.abs(n - _rows_of(counts, rule.args[0])).alias("failing_rows"))
+
+
 def _key_rule(m, rule: Rule) -> DataFrame:
     df = m[rule.model]
     if rule.kind in ("unique", "unique_combination"):
@@ -74,13 +120,6 @@ def _key_rule(m, rule: Rule) -> DataFrame:
     if rule.kind == "relationships":
         orphans = missing_parents(df, rule.column, m[rule.args[0]], rule.args[1])
         return orphans.agg(F.sum("rows").alias("failing_rows"))
-    if rule.kind == "equal_rowcount":
-        other = m[rule.args[0]].agg(F.count("*")).scalar()
-        return df.agg(F.count("*").alias("n")).select(
-            F.abs(F.col("n") - other).alias("failing_rows")
-        )
-    if rule.kind == "non_empty_table":
-        return df.agg((F.count("*") == 0).cast("int").alias("failing_rows"))
     raise ValueError(f"unknown rule kind {rule.kind!r}")
 
 
@@ -102,19 +141,21 @@ def failing_rows(m, rule: Rule, now: str) -> DataFrame:
     raise ValueError(f"a {rule.kind} rule is about the table, not about rows")
 
 
-def evaluate(m, rules: list[Rule], now: str) -> DataFrame:
-    """One row per rule.  ``now`` is the reference time as SQL text."""
+def evaluate(m, rules: list[Rule], now: str, counts: DataFrame | None = None) -> DataFrame:
+    """One row per rule.  ``now`` is the reference time as SQL text; ``counts`` is a
+    written ``one_pass`` over these and other rules, if there is one."""
+    if counts is None and any(r.kind in ROW_KINDS | COUNT_KINDS for r in rules):
+        counts = one_pass(m, rules, now)
     parts = []
-    models = list(dict.fromkeys(r.model for r in rules))
-    for model in models:
-        row = [r for r in rules if r.model == model and r.kind in ROW_KINDS]
-        if row:
-            parts.append(_row_rules(m[model], row, now))
-    parts += [_result(_key_rule(m, r), r) for r in rules if r.kind not in ROW_KINDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    row = ["\n".join((r.name, r.model, r.column)) for r in rules if r.kind in ROW_KINDS]
+    if row:
+        parts.append(counts.filter(F.concat_ws("\n", "test", "model", "column").isin(row)))
+    for rule in rules:
+        if rule.kind in COUNT_KINDS:
+            parts.append(_result(_count_rule(counts, rule), rule))
+        elif rule.kind not in ROW_KINDS:
+            parts.append(_result(_key_rule(m, rule), rule))
+    return _together(parts)
 
 
 def rules_of(kind: str) -> list[Rule]:

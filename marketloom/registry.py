@@ -7,9 +7,12 @@ from marketloom.plans.declared import DECLARED_QUERIES
 from marketloom.plans.operator_queries import OPERATOR_QUERIES
 from marketloom.plans.product_dashboard import PRODUCT_QUERIES
 from marketloom.plans.quality import (
+    COUNT_KINDS,
+    ROW_KINDS,
     dq_order_dates,
     dq_revenue_integrity,
     evaluate,
+    one_pass,
 )
 from marketloom.plans.rules import all_rules
 from marketloom.plans.segments import SEGMENT_QUERIES
@@ -19,6 +22,7 @@ from marketloom.present import present
 from marketloom.session import configure
 from marketloom.sources.fixture import FixtureSources
 from marketloom.sources.schemas import SOURCES
+from marketloom.sources.tables import write_scratch
 from marketloom.streaming.runs import RUNS
 
 AS_OF = "2002-01-01 00:00:00"
@@ -52,15 +56,33 @@ def _query(f, **options):
 
 
 class _Checked:
-    """Models and documented columns under one name space, for the rules."""
+    """Models and documented columns under one name space, for the rules.  Documented
+    columns and the counts of a report are written once."""
 
     def __init__(self, m):
         self.m = m
+        self._written: dict = {}
 
     def __getitem__(self, name):
-        if name in DECLARED_QUERIES:
-            return DECLARED_QUERIES[name](self.m, self.m.as_of)
-        return self.m[name]
+        if name not in DECLARED_QUERIES:
+            return self.m[name]
+        if name not in self._written:
+            self._written[name] = write_scratch(DECLARED_QUERIES[name](self.m, self.m.as_of), name)
+        return self._written[name]
+
+    def counts(self):
+        if "" not in self._written:
+            self._written[""] = write_scratch(one_pass(self, all_rules(), NOW_SQL), "rule-counts")
+        return self._written[""]
+
+
+_checked: dict[int, _Checked] = {}
+
+
+def checked(m) -> _Checked:
+    if id(m) not in _checked or _checked[id(m)].m is not m:
+        _checked[id(m)] = _Checked(m)
+    return _checked[id(m)]
 
 
 def _run(f):
@@ -73,7 +95,9 @@ NOW_SQL = f"timestamp_ntz'{AS_OF}'"
 def _quality(select):
     def run(spark, sf_dir):
         rules = [r for r in all_rules() if select(r)]
-        return present(evaluate(_Checked(warehouse(spark, sf_dir)), rules, NOW_SQL))
+        report = checked(warehouse(spark, sf_dir))
+        counted = any(r.kind in ROW_KINDS | COUNT_KINDS for r in rules)
+        return present(evaluate(report, rules, NOW_SQL, report.counts() if counted else None))
 
     return run
 
