@@ -8,7 +8,9 @@ import pytest
 import __spark_entry__ as contract
 from marketloom.oracle.registry import all_sql
 from marketloom.plans.pipeline import QualityError, run_pipeline
-from marketloom.plans.rules import Rule
+from marketloom.plans.quality import COUNT_KINDS, ROW_KINDS, evaluate, one_pass
+from marketloom.plans.rules import Rule, all_rules
+from marketloom.plans.warehouse import Warehouse
 from marketloom.registry import registered
 from marketloom.sources.fixture import FixtureSources
 from shop import ROWS, shop
@@ -78,3 +80,21 @@ def test_pipeline_stops_before_publishing(spark, tmp_path):
     with pytest.raises(QualityError, match="customers.customer_id"):
         run_pipeline(spark, data, str(tmp_path), "2018-01-01", land=False, rules=rules)
     assert not spark.catalog.tableExists("mart_customers")
+
+
+def test_one_pass_counts_like_rule_by_rule(spark):
+    """Each model is scanned once for all its rules that look at rows."""
+    m = Warehouse(spark, shop(spark), "2018-01-01", tables=())
+    now = "timestamp_ntz'2018-01-01 00:00:00'"
+    models = ("stg_orders", "stg_order_items", "stg_customers", "customers", "orders")
+    rules = [
+        r for r in all_rules() if r.model in models and r.kind in ROW_KINDS | COUNT_KINDS
+        and (r.kind != "equal_rowcount" or r.args[0] in models)
+    ]
+    assert len(rules) > 10
+    counts = one_pass(m, rules, now)
+    shown = lambda df: sorted(map(str, df.collect()))
+    alone = [row for r in rules[::4] for row in shown(evaluate(m, [r], now))]
+    assert sorted(alone) == shown(evaluate(m, rules[::4], now, counts))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == len({r.model for r in rules} | {r.args[0] for r in rules if r.kind == "equal_rowcount"})
