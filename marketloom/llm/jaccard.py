@@ -48,11 +48,11 @@ SIGNATURE_BITS = 512
 #: Tiles in which a set meets the leaders.
 WIDE_CELLS = 2
 #: Shingles of one counting task, and shingles gathered before a map task hands on.
-RANGE_SHINGLES = 2_000_000
+RANGE_SHINGLES = 1_000_000
 #: Sets whose tiles are compared together, and pairs found before they are handed on.
 CHUNK_SETS = 60_000
 FLUSH_PAIRS = 200_000
-FLUSH_SHINGLES = 1_000_000
+FLUSH_SHINGLES = 500_000
 
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
@@ -211,6 +211,7 @@ def by_group(batches, key: list[str], use):
             group.append(row)
     if group:
         yield from use(group)
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def _prefixes(shared: DataFrame, sets: DataFrame, buckets: int, percent: int) -> DataFrame:

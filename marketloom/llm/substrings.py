@@ -54,7 +54,7 @@ ANCHOR = 8
 RANGE_SEGMENTS = 500_000
 SHARD_WORDS = 20_000
 ANCHOR_SEGMENTS = 1_000
-FLUSH_SEGMENTS = 400_000
+FLUSH_SEGMENTS = 200_000
 FLUSH_WINDOWS = 50_000
 
 _PLACE_BITS = 24
