@@ -79,4 +79,107 @@ from nodes n join below b using (path) left join children c using (path)
 left join nodes p on n.depth > 0 and p.path = n.path[1:n.depth - 1]
 """
 
-SQL = {"op11_conversation_trie": OP11, "op12_ranked_search": OP12}
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP1 = f"""
+with docs as materialized (
+    select row_number() over () as no, doc_id, {_WORDS.format("coalesce(text, '')")} as words from documents
+), windows as (
+    select no, p, md5(array_to_string(words[p:p + 34], ' ')) as h
+    from (select *, unnest(range(1, len(words) - 33)) as p from docs)
+), repeated as (
+    select no, p from windows qualify count(*) over (partition by h) > 1
+), placed as (
+    select no, unnest(words) as word, generate_subscripts(words, 1) as i from docs
+), judged as (
+    select no, i, word, max(p) over (partition by no order by i rows 34 preceding) is null as kept
+    from (select w.*, r.p from placed w left join repeated r on r.no = w.no and r.p = w.i)
+), summed as (
+    select no, count(*) as n_words, count(*) filter (not kept) as n_removed,
+        string_agg(word, ' ' order by i) filter (kept) as kept_text
+    from judged group by no
+)
+select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+    sha256(coalesce(kept_text, '')) as kept_sha256
+from docs left join summed using (no)
+"""
+
+OP2 = f"""
+with recursive docs as materialized (
+    select row_number() over () as no, doc_id,
+        {_WORDS.format(_LOWER.format("coalesce(text, '')"))} as words from documents
+), shingles as (
+    select distinct no, array_to_string(words[p:p + 4], ' ') as shingle
+    from (select *, unnest(range(1, greatest(len(words) - 3, 2))) as p from docs where len(words) > 0)
+), sizes as (
+    select no, count(*)::bigint as n from shingles group by no
+), links as (
+    select a, b from (
+        select x.no as a, y.no as b, count(*) as shared from shingles x join shingles y using (shingle)
+        where x.no <> y.no group by all)
+    join sizes s on s.no = a join sizes t on t.no = b
+    where 100 * shared >= 80 * (s.n + t.n - shared)
+), reached as (
+    select no as a, no as b from docs
+    union
+    select r.a, l.b from reached r join links l on l.a = r.b
+), components as (
+    select a as no, min(doc_id) as component_id from reached join docs on docs.no = b group by a
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+from docs join components using (no) left join sizes using (no)
+"""
+
+#: Base 32 of a SHA-1: each five hexadecimal digits are four letters.
+_BASE32 = """list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (31 &
+    (('0x' || substr({sha1}, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))))::bigint, 1)), lambda a, b: a || b)"""
+
+OP5 = f"""
+with payloads as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), firsts as (
+    select *, max(page_id) over (partition by h) as response from payloads
+)
+select page_id, payload_bytes::bigint as payload_bytes, {_BASE32.format(sha1="h")} as payload_digest,
+    case when page_id = response then 'response' else 'revisit' end as record_type,
+    case when page_id <> response then response end as refers_to
+from firsts
+"""
+
+_TOKENS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(
+    _LOWER.format("coalesce(text, '')"))
+
+OP6 = f"""
+with docs as materialized (
+    select row_number() over () as no, doc_id, {_TOKENS} as words from documents
+), items as (
+    select item_id, {_TOKENS} as words from benchmark
+), item_windows as (
+    select distinct item_id, least(len(words), 10) as width, array_to_string(words[p:p + 9], ' ') as phrase
+    from (select *, unnest(range(1, greatest(len(words) - 8, 2))) as p from items where len(words) > 0)
+), doc_windows as (
+    select no, width, p, array_to_string(words[p:p + width - 1], ' ') as phrase from (
+        select *, unnest(range(1, len(words) - width + 2)) as p
+        from docs, (select distinct width from item_windows))
+), found as (
+    select no, p, width, item_id from doc_windows join item_windows using (width, phrase)
+), hits as (
+    select no, count(distinct place)::bigint as n_hit
+    from (select no, unnest(range(p, p + width)) as place from found) group by no
+), held as (
+    select no, count(*)::bigint as n_items, sha256(string_agg(item_id::varchar, ',' order by item_id::varchar)) as ids
+    from (select distinct no, item_id from found) group by no
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+    coalesce(n_items, 0)::bigint as n_items, coalesce(ids, sha256('')) as items_sha256, n_hit is not null as contaminated
+from docs left join hits using (no) left join held using (no)
+"""
+
+SQL = {
+    "op1_substring_dedup": OP1,
+    "op2_jaccard_join": OP2,
+    "op5_warc": OP5,
+    "op6_decontamination": OP6,
+    "op11_conversation_trie": OP11,
+    "op12_ranked_search": OP12,
+}
