@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions import pad_zip
+from marketloom.sources.records import quoted_records
 from marketloom.sources.schemas import SOURCES, SourceTable
 from marketloom.sources.tables import save_table
 
@@ -38,15 +39,16 @@ def conform(df: DataFrame, source: SourceTable) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, source: SourceTable) -> DataFrame:
     """Read with cleaned header names, then cast by name; no type inference,
-    so zip prefixes keep their leading zeros."""
-    raw = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", source.free_text)
-        .csv(path)
-    )
-    return conform(raw.toDF(*[clean_name(c) for c in raw.columns]), source)
+    so zip prefixes keep their leading zeros.  Files with line breaks inside of
+    fields are split between tasks like others, by ``quoted_records``."""
+    options = {"quote": '"', "escape": '"', "multiLine": str(source.free_text).lower()}
+    raw = spark.read.options(header=True, **options).csv(path)
+    names = [clean_name(c) for c in raw.columns]
+    if not source.free_text:
+        return conform(raw.toDF(*names), source)
+    fields = ", ".join(f"`{n}` string" for n in names)
+    records = quoted_records(spark, path).filter("not first")
+    return conform(records.select(F.from_csv("record", fields, options).alias("r")).select("r.*"), source)
 
 
 def load_csv_to_table(
