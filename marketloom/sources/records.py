@@ -25,7 +25,8 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     file has no records.  A file with an odd number of quotes is an error, since its records
     cannot be told apart; quotes belong around fields or in pairs inside of them.
 
-    The lines are written once, so that all steps see the same blocks."""
+    The lines are written once, so that all steps see the same blocks; the pieces are
+    written once too, since both kinds of them are read."""
     lines = write_scratch(
         spark.read.option("lineSep", "\n").text(path).select(
             F.col("_metadata.file_path").alias("file"),
@@ -53,10 +54,13 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("no", F.sum(starts.cast("long")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
     )
     # number 0 is the end of a record of an earlier block; an open record goes on in the next
-    pieces = marked.groupBy("file", "block", "no").agg(
-        _joined(F.collect_list(F.struct("line", "text"))).alias("text"),
-        ((F.col("no") == 0) | (F.sum("quotes") % 2 == 1)).alias("loose"),
-        F.max("broken").alias("broken"),
+    pieces = write_scratch(
+        marked.groupBy("file", "block", "no").agg(
+            _joined(F.collect_list(F.struct("line", "text"))).alias("text"),
+            ((F.col("no") == 0) | (F.sum("quotes") % 2 == 1)).alias("loose"),
+            F.max("broken").alias("broken"),
+        ),
+        "csv-pieces",
     )
     order = whole.orderBy("block", "no").rowsBetween(Window.unboundedPreceding, 0)
     glued = (
