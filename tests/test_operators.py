@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from marketloom.operators.keyed import distinct_on, missing_parents, top_per_key, upsert
+from marketloom.operators import ranking
 from marketloom.operators.ranking import ntile, number_within, percent_ranks, positions
 
 
@@ -103,3 +104,22 @@ def test_upsert_and_missing_parents(spark):
     child = spark.createDataFrame([(1,), (9,), (9,), (None,)], "k int")
     got = missing_parents(child, "k", old, "k").collect()
     assert [tuple(r) for r in got] == [(9, 2)]
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def test_number_within_deals_rows_once_unless_a_key_is_heavy(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [(None if i % 3 == 0 else i % 7, i * 37 % 101) for i in range(300)], "g int, v int")
+    want = df.select("g", "v", F.row_number().over(W.partitionBy("g").orderBy("v")).alias("n"))
+    want = sorted(map(str, want.collect()))
+    light = number_within(df, "g", ["v"], "n")
+    assert exchanges(light) == 1
+    assert sorted(map(str, light.collect())) == want
+    monkeypatch.setattr(ranking, "HEAVY", 40)  # the null key only
+    assert sorted(map(str, number_within(df, "g", ["v"], "n").collect())) == want
+    monkeypatch.setattr(ranking, "HEAVY", 1000)
+    assert number_within(df.limit(0), "g", ["v"], "n").count() == 0
