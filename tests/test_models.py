@@ -1,6 +1,7 @@
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.plans.dashboard_parts import PRICE_RANGES
 from marketloom.plans.customer_dashboard import q_cust_3_2
@@ -11,6 +12,7 @@ from marketloom.plans.quality import (
     evaluate,
     failing_rows,
 )
+from marketloom.plans.intermediate import month_span, months_in
 from marketloom.plans.rules import Rule, all_rules
 from marketloom.plans.warehouse import DEPENDS, MODELS, Warehouse
 from marketloom.sources.schemas import SOURCES
@@ -214,3 +216,25 @@ def test_failing_rows_agree_with_the_counts(spark):
     ]
     got = [failing_rows(data, r, "current_timestamp()").count() for r in rules]
     assert got == [2, 0, 2, 1, 1, 2]
+
+
+def test_distinct_months_travel_as_bits(spark):
+    dates = ["2017-01-31", "2017-01-01", "2021-12-31", "2016-02-29", None, "2017-02-01"]
+    df = spark.createDataFrame(
+        [(i % 2, d) for i, d in enumerate(dates)] + [(2, None), (3, "2024-05-05")], "k int, d string"
+    ).select("k", F.col("d").cast("timestamp_ntz").alias("d"))
+    want = {0: 2, 1: 3, 2: 0, 3: 1}
+    span = month_span(df, "d")
+    assert span == (2016 * 12 + 2, 2)
+    for s in (span, None):
+        got = df.groupBy("k").agg(months_in("d", s).alias("n"))
+        assert {r["k"]: r["n"] for r in got.collect()} == want
+    assert "ObjectHash" not in df.groupBy("k").agg(months_in("d", span))._jdf.queryExecution().toString()
+    far = df.union(spark.sql("select 4, timestamp_ntz'9999-12-31 00:00:00'"))
+    assert month_span(far, "d") is None and month_span(df.limit(0), "d") == (0, 1)
+
+
+def test_product_and_seller_sums_need_no_sets(m):
+    for name in ("int_product_performance", "int_seller_performance", "mart_sellers"):
+        plan = MODELS[name](m, m.as_of)._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_set(cast(trunc" not in plan, name
