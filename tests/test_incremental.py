@@ -5,7 +5,8 @@ from marketloom.plans.warehouse import Warehouse
 from marketloom.sources.files import conform
 from marketloom.sources.folder import Folder
 from marketloom.sources.schemas import SOURCES
-from marketloom.streaming import incremental
+from marketloom.sources.tables import write_scratch
+from marketloom.streaming import incremental, versioned
 from marketloom.streaming.incremental import KEYS, IncrementalModels, Run, last_versions, run_changes
 from marketloom.streaming.keyed_table import KeyedTable, newer_than
 from marketloom.streaming.versioned import Conflict
@@ -214,3 +215,21 @@ def test_compacted_arrivals(spark, tmp_path, monkeypatch):
     assert {r[0] for r in last_versions(log.read(), "orders").select("order_status").collect()} == {"canceled"}
     inc.capture("orders", orders.limit(1))
     assert inc._open_run()["new"]["orders"] == [p for p in log.version().parts if not p.startswith("base")]
+
+
+def test_first_version_is_written_once_with_the_schema_of_files(spark, tmp_path, monkeypatch):
+    """No copy of the rows beside the table, and the next run finds the same types."""
+    copies = []
+    usual = Run.keep
+    monkeypatch.setattr(Run, "keep", lambda self, df, label: copies.append(label) or usual(self, df, label))
+    resync = []
+    monkeypatch.setattr(
+        versioned, "write_scratch", lambda df, label, *args: resync.append(label) or write_scratch(df, label, *args))
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), shop(spark), "2018-01-01", buckets=2)
+    inc.process(typed(shop(spark)["orders"]), 0)
+    assert "rows" not in copies
+    before = {n: t.version().schema for n, t in inc._versioned().items()}
+    inc.process(typed(shop(spark, orders=[ROWS["orders"][1]])["orders"]), 1)
+    assert not resync
+    assert before == {n: t.version().schema for n, t in inc._versioned().items()}
+    assert_full_refresh(spark, inc, shop(spark))
