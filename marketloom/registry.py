@@ -17,12 +17,12 @@ from marketloom.plans.quality import (
 from marketloom.plans.rules import all_rules
 from marketloom.plans.segments import SEGMENT_QUERIES
 from marketloom.plans.seller_dashboard import SELLER_QUERIES
-from marketloom.plans.warehouse import MODELS, TABLES, Warehouse
+from marketloom.plans.warehouse import BY_ORDER, MODELS, TABLES, Warehouse
 from marketloom.present import present
 from marketloom.session import configure
 from marketloom.sources.fixture import FixtureSources
 from marketloom.sources.schemas import SOURCES
-from marketloom.sources.tables import write_scratch
+from marketloom.sources.tables import write_buckets, write_scratch
 from marketloom.streaming.runs import RUNS
 
 AS_OF = "2002-01-01 00:00:00"
@@ -37,8 +37,15 @@ def warehouse(spark, sf_dir: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _warehouses:
         configure(spark)
+        sources = FixtureSources(spark, sf_dir)
+
+        def save(df, name):
+            if name in BY_ORDER and sources.hot_orders().isEmpty():
+                return write_buckets(df, name, "order_id")
+            return write_scratch(df, name)
+
         _warehouses[key] = Warehouse(
-            spark, FixtureSources(spark, sf_dir), AS_OF, tables=["order_items", *TABLES]
+            spark, sources, AS_OF, tables=["order_items", *TABLES], save=save
         )
     return _warehouses[key]
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions.buckets import BRAZIL_STATES
-from marketloom.operators.ranking import number_within
+from marketloom.operators.ranking import heavy_keys, number_within
 
 _CODES = ", ".join(f"'{code}'" for code in BRAZIL_STATES)
 _STATE = f"element_at(array({_CODES}), cast({{k}} as int) + 1)"
@@ -34,6 +34,7 @@ class FixtureSources:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._hot: DataFrame | None = None
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -91,22 +92,31 @@ class FixtureSources:
             _shift("24", "0") + " as order_estimated_delivery_date",
         )
 
+    def hot_orders(self) -> DataFrame:
+        """Orders of so many items that no single task should have them."""
+        if self._hot is None:
+            self._hot = heavy_keys(
+                self._read("lineitem").selectExpr("cast(l_orderkey as string) as order_id"), "order_id")
+        return self._hot
+
     def order_items(self) -> DataFrame:
-        lines = self._read("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-            "l_extendedprice", "l_tax",
+        # numbered by the key that the table is dealt by: one shuffle for both
+        lines = self._read("lineitem").selectExpr(
+            "cast(l_orderkey as string) as order_id", "l_linenumber", "l_partkey", "l_suppkey",
+            "l_shipdate", "l_extendedprice", "l_tax",
         )
         numbered = number_within(
             lines,
-            "l_orderkey",
+            "order_id",
             ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"],
             "rn",
+            self.hot_orders(),
         )
         return (
             numbered.withColumn("cents", F.expr(_CENTS))
             .withColumn("taxpct", F.expr(_TAX))
             .selectExpr(
-                "cast(l_orderkey as string) as order_id",
+                "order_id",
                 "cast(rn as int) as order_item_id",
                 "cast(l_partkey as string) as product_id",
                 "cast(l_suppkey as string) as seller_id",

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from marketloom.operators.keyed import distinct_on, missing_parents, top_per_key, upsert
 from marketloom.operators import ranking
 from marketloom.operators.ranking import ntile, number_within, percent_ranks, positions
+from marketloom.plans.intermediate import with_distinct
+from marketloom.sources.tables import write_buckets
 
 
 def values(n, seed):
@@ -123,3 +125,23 @@ def test_number_within_deals_rows_once_unless_a_key_is_heavy(spark, monkeypatch)
     assert sorted(map(str, number_within(df, "g", ["v"], "n").collect())) == want
     monkeypatch.setattr(ranking, "HEAVY", 1000)
     assert number_within(df.limit(0), "g", ["v"], "n").count() == 0
+
+
+def test_rows_dealt_by_a_key_are_grouped_and_joined_without_a_shuffle(spark):
+    df = spark.createDataFrame([(None if i % 9 == 0 else f"o{i % 40}", i) for i in range(300)], "k string, v int")
+    items = write_buckets(df, "items", "k")
+    sums = write_buckets(items.groupBy("k", "v").count(), "sums", "k")
+    assert sorted(map(str, items.collect())) == sorted(map(str, df.collect()))
+    both = items.groupBy("k").agg(F.sum("v").alias("s")).join(sums.groupBy("k").agg(F.count("*").alias("n")), "k")
+    assert exchanges(both) == 0
+    want = df.filter("k is not null").groupBy("k").agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+    assert sorted(map(str, both.collect())) == sorted(map(str, want.collect()))
+
+
+def test_sums_beside_a_distinct_count_are_not_split_by_its_values(spark):
+    df = spark.createDataFrame([(i % 5, None if i % 7 == 0 else i % 3, i) for i in range(100)], "k int, v int, x int")
+    got = with_distinct(df, "k", "v", "n", [F.sum("x").alias("s")])
+    want = df.groupBy("k").agg(F.sum("x").alias("s"), F.count_distinct("v").alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "sum(x" in x and "keys=[k" in x and "v#" in x.split("functions")[0]]
