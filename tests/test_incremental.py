@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,3 +235,23 @@ def test_first_version_is_written_once_with_the_schema_of_files(spark, tmp_path,
     assert not resync
     assert before == {n: t.version().schema for n, t in inc._versioned().items()}
     assert_full_refresh(spark, inc, shop(spark))
+
+
+def test_customers_do_not_wait_for_sellers_and_products(spark, tmp_path, monkeypatch):
+    begun, facts, customers, waited = threading.Event(), Run.facts, Run.customers, []
+
+    def late(self, *args):
+        waited.append(begun.wait(60))
+        return facts(self, *args)
+
+    def first(self, *args):
+        begun.set()
+        return customers(self, *args)
+
+    monkeypatch.setattr(Run, "facts", late)
+    monkeypatch.setattr(Run, "customers", first)
+    data = shop(spark)
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), data, "2018-01-01", buckets=2)
+    inc.process(typed(data["orders"]))
+    assert waited == [True, True]
+    assert_full_refresh(spark, inc, data)
