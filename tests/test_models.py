@@ -242,3 +242,13 @@ def test_product_and_seller_sums_need_no_sets(m, spark):
             assert "bit_or" in plan and "collect_set" not in plan, name
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_customer_sums_are_not_split_by_month(m, spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")  # whole plans
+    try:
+        for name in ("int_customer_orders", "mart_customers"):
+            plan = MODELS[name](m, m.as_of)._jdf.queryExecution().optimizedPlan().toString()
+            assert "bit_or" in plan and "count(distinct" not in plan, name
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
