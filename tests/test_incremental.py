@@ -255,3 +255,39 @@ def test_customers_do_not_wait_for_sellers_and_products(spark, tmp_path, monkeyp
     inc.process(typed(data["orders"]))
     assert waited == [True, True]
     assert_full_refresh(spark, inc, data)
+
+
+def test_later_runs_write_changed_rows_once(spark, tmp_path, monkeypatch):
+    """No copy of the rows beside the table in any run; a part may lie in two folders."""
+    copies = []
+    usual = Run.keep
+    monkeypatch.setattr(Run, "keep", lambda self, df, label: copies.append(label) or usual(self, df, label))
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), shop(spark), "2018-01-01", buckets=1)
+    inc.process(typed(shop(spark)["orders"]), 0)
+    inc.process(typed(shop(spark, orders=[ROWS["orders"][1]])["orders"]), 1)
+    assert "rows" not in copies
+    assert max(w.count(",") for w in inc.tables["int_customer_orders"].version().parts.values()) == 1
+    assert_full_refresh(spark, inc, shop(spark))
+    for table in inc._versioned().values():
+        table.vacuum(1)
+    assert_full_refresh(spark, inc, shop(spark))
+
+
+def test_extremes_are_looked_up_only_where_one_may_be_lost(spark, tmp_path, monkeypatch):
+    """An order comes again in another state; then one moves within its month, past
+    the first of its seller."""
+    looked = []
+    usual = versioned.VersionedTable.read
+    monkeypatch.setattr(
+        versioned.VersionedTable, "read",
+        lambda self, at=None, parts=None: looked.append((self.path, parts)) or usual(self, at, parts))
+    facts = lambda: [parts for path, parts in looked if parts and "/order_" in path]
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), shop(spark), "2018-01-01", buckets=2)
+    inc.process(typed(shop(spark)["orders"]))
+    again = order("o1", "c1", "shipped", "2017-01-01 10:00:00", None, "2017-01-06 22:00:00")
+    inc.process(typed(shop(spark, orders=[again])["orders"]))
+    assert not facts()
+    later = order("o1", "c1", "shipped", "2017-01-09 10:00:00", None, "2017-01-16 22:00:00")
+    inc.process(typed(shop(spark, orders=[later])["orders"]))
+    assert {p for parts in facts() for p in parts} == {"2017-01"}
+    assert_full_refresh(spark, inc, shop(spark, orders=[later, *ROWS["orders"][1:]]))
