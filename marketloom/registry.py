@@ -22,7 +22,7 @@ from marketloom.present import present
 from marketloom.session import configure
 from marketloom.sources.fixture import FixtureSources
 from marketloom.sources.schemas import SOURCES
-from marketloom.sources.tables import write_buckets, write_scratch
+from marketloom.sources.tables import deal_by_size, write_buckets, write_scratch
 from marketloom.streaming.runs import RUNS
 
 AS_OF = "2002-01-01 00:00:00"
@@ -38,6 +38,7 @@ def warehouse(spark, sf_dir: str) -> Warehouse:
     if key not in _warehouses:
         configure(spark)
         sources = FixtureSources(spark, sf_dir)
+        deal_by_size(spark, sources.most_rows())
 
         def save(df, name):
             if name in BY_ORDER and sources.hot_orders().isEmpty():

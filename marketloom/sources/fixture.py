@@ -92,6 +92,10 @@ class FixtureSources:
             _shift("24", "0") + " as order_estimated_delivery_date",
         )
 
+    def most_rows(self) -> int:
+        """Rows of the largest table."""
+        return max(self._read(name).count() for name in ("lineitem", "orders", "customer"))
+
     def hot_orders(self) -> DataFrame:
         """Orders of so many items that no single task should have them."""
         if self._hot is None:

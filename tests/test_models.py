@@ -252,3 +252,17 @@ def test_customer_sums_are_not_split_by_month(m, spark):
             assert "bit_or" in plan and "count(distinct" not in plan, name
     finally:
         spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_payments_are_dealt_by_order_only(spark):
+    pays = [("a", 1, None, 2, "5.00"), ("a", 2, "voucher", 1, None), ("a", 2, "voucher", 4, "1.00"),
+            ("b", None, "boleto", None, None), ("c", 1, "pix", 1, "7.00")]
+    fin = Warehouse(spark, shop(spark, order_payments=pays), "2018-01-01", tables=())["int_order_financials"]
+    plan = fin._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hash" in x and "payment_type" in x]
+    a, b, c = (row(fin, order_id=k) for k in "abc")
+    assert (a["payment_total"], a["voucher_amount"], a["boleto_amount"]) == (D("6.00"), D("1.00"), D("0.00"))
+    assert (a["payment_methods"], a["payment_methods_count"], a["max_installments"]) == (["voucher"], 1, 4)
+    assert (a["payment_count"], a["payment_installments"]) == (2, 2)
+    assert (b["payment_total"], b["boleto_amount"], b["used_boleto"], b["max_installments"]) == (None, None, True, None)
+    assert (c["payment_methods"], c["used_voucher"], c["credit_card_amount"]) == (["pix"], False, D("0.00"))

@@ -10,7 +10,7 @@ from marketloom.operators.keyed import distinct_on, missing_parents, top_per_key
 from marketloom.operators import ranking
 from marketloom.operators.ranking import ntile, number_within, percent_ranks, positions
 from marketloom.plans.intermediate import with_distinct
-from marketloom.sources.tables import write_buckets
+from marketloom.sources.tables import deal_by_size, write_buckets
 
 
 def values(n, seed):
@@ -145,3 +145,18 @@ def test_sums_beside_a_distinct_count_are_not_split_by_its_values(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "sum(x" in x and "keys=[k" in x and "v#" in x.split("functions")[0]]
+
+
+def test_buckets_and_partitions_grow_with_the_input(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(initial, None) is None
+    try:
+        assert deal_by_size(spark, 1000) == least and spark.conf.get(initial, None) is None
+        assert deal_by_size(spark, 36_000_000) == 36
+        assert deal_by_size(spark, 1000) == 36  # what was dealt stays joinable
+        items = write_buckets(spark.range(200).selectExpr("id % 50 as k", "id as v"), "items", "k")
+        counts = items.groupBy("k").count()
+        assert exchanges(counts) == 0 and "SelectedBucketsCount: 36 out of 36" in counts._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset(initial)
