@@ -84,15 +84,20 @@ def _together(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def one_pass(m, rules: list[Rule], now: str) -> DataFrame:
-    """Counts of all row-level rules and of rows: one scan and one aggregate for each
-    model that a rule of these kinds is about."""
+def counted_models(rules: list[Rule]) -> list[str]:
+    """The models whose rows the row-level rules and row counts of ``rules`` look at."""
     counted = [r for r in rules if r.kind in ROW_KINDS | COUNT_KINDS]
     models = dict.fromkeys(r.model for r in counted)
     models |= dict.fromkeys(r.args[0] for r in counted if r.kind == "equal_rowcount")
+    return list(models)
+
+
+def one_pass(m, rules: list[Rule], now: str, models: list[str] | None = None) -> DataFrame:
+    """Counts of all row-level rules and of rows: one scan and one aggregate for each
+    model that a rule of these kinds is about, or for each of ``models``."""
     return _together([
-        _counted(m[model], model, [r for r in counted if r.model == model and r.kind in ROW_KINDS], now)
-        for model in models
+        _counted(m[model], model, [r for r in rules if r.model == model and r.kind in ROW_KINDS], now)
+        for model in (counted_models(rules) if models is None else models)
     ])
 
 

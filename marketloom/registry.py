@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
 from marketloom.plans.customer_dashboard import CUSTOMER_QUERIES
 from marketloom.plans.declared import DECLARED_QUERIES
 from marketloom.plans.operator_queries import OPERATOR_QUERIES
 from marketloom.plans.product_dashboard import PRODUCT_QUERIES
 from marketloom.plans.quality import (
-    COUNT_KINDS,
-    ROW_KINDS,
+    counted_models,
     dq_order_dates,
     dq_revenue_integrity,
     evaluate,
@@ -65,11 +68,12 @@ def _query(f, **options):
 
 class _Checked:
     """Models and documented columns under one name space, for the rules.  Documented
-    columns and the counts of a report are written once."""
+    columns and the counts of a model are written once."""
 
     def __init__(self, m):
         self.m = m
         self._written: dict = {}
+        self._counts: dict = {}
 
     def __getitem__(self, name):
         if name not in DECLARED_QUERIES:
@@ -78,10 +82,16 @@ class _Checked:
             self._written[name] = write_scratch(DECLARED_QUERIES[name](self.m, self.m.as_of), name)
         return self._written[name]
 
-    def counts(self):
-        if "" not in self._written:
-            self._written[""] = write_scratch(one_pass(self, all_rules(), NOW_SQL), "rule-counts")
-        return self._written[""]
+    def counts(self, rules):
+        """Counts of the models that ``rules`` are about, and of no others: a report on some
+        models builds only these.  Each is counted once, for all rules."""
+        models = counted_models(rules)
+        new = [x for x in models if x not in self._counts]
+        if new:
+            counts = write_scratch(one_pass(self, all_rules(), NOW_SQL, new), "rule-counts")
+            self._counts |= dict.fromkeys(new, counts)
+        parts = list({id(self._counts[x]): self._counts[x] for x in models}.values())
+        return reduce(DataFrame.unionByName, parts)
 
 
 _checked: dict[int, _Checked] = {}
@@ -104,8 +114,8 @@ def _quality(select):
     def run(spark, sf_dir):
         rules = [r for r in all_rules() if select(r)]
         report = checked(warehouse(spark, sf_dir))
-        counted = any(r.kind in ROW_KINDS | COUNT_KINDS for r in rules)
-        return present(evaluate(report, rules, NOW_SQL, report.counts() if counted else None))
+        counted = counted_models(rules)
+        return present(evaluate(report, rules, NOW_SQL, report.counts(rules) if counted else None))
 
     return run
 

@@ -11,8 +11,9 @@ from marketloom.plans.pipeline import QualityError, run_pipeline
 from marketloom.plans.quality import COUNT_KINDS, ROW_KINDS, evaluate, one_pass
 from marketloom.plans.rules import Rule, all_rules
 from marketloom.plans.warehouse import Warehouse
-from marketloom.registry import registered
+from marketloom.registry import NOW_SQL, _Checked, registered
 from marketloom.sources.fixture import FixtureSources
+from marketloom.sources.schemas import SOURCES
 from shop import ROWS, shop
 
 DATA = "/root/testdata/sf0.001"
@@ -98,3 +99,19 @@ def test_one_pass_counts_like_rule_by_rule(spark):
     assert sorted(alone) == shown(evaluate(m, rules[::4], now, counts))
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == len({r.model for r in rules} | {r.args[0] for r in rules if r.kind == "equal_rowcount"})
+
+
+def test_report_builds_only_what_its_rules_are_about(spark):
+    """A report on the sources builds no model; one on more counts only what is new."""
+    m = Warehouse(spark, shop(spark), "2018-01-01", tables=())
+    report = _Checked(m)
+    shown = lambda df: sorted(map(str, df.collect()))
+    declared = [r for r in all_rules() if r.model in SOURCES]
+    found = shown(evaluate(report, declared, NOW_SQL, report.counts(declared)))
+    assert set(m._built) <= set(SOURCES)
+    assert found == shown(evaluate(m, declared, NOW_SQL))
+    more = declared + [r for r in all_rules() if r.model in ("stg_customers", "stg_orders") and r.kind in ROW_KINDS]
+    counts = report.counts(more)
+    assert shown(evaluate(report, more, NOW_SQL, counts)) == shown(evaluate(m, more, NOW_SQL))
+    assert set(m._built) <= {*SOURCES, "stg_customers", "stg_orders"}
+    assert counts.groupBy("model", "test", "column").count().filter("count > 1").isEmpty()
