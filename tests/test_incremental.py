@@ -291,3 +291,25 @@ def test_extremes_are_looked_up_only_where_one_may_be_lost(spark, tmp_path, monk
     inc.process(typed(shop(spark, orders=[later])["orders"]))
     assert {p for parts in facts() for p in parts} == {"2017-01"}
     assert_full_refresh(spark, inc, shop(spark, orders=[later, *ROWS["orders"][1:]]))
+
+
+def test_cells_are_read_and_written_once_and_orders_joined_once(spark, tmp_path, monkeypatch):
+    """An order without a date and items of an order that does not exist count as in a full refresh."""
+    copies, kept, scopes = [], [], []
+    keep, stay, models = Run.keep, versioned.VersionedTable._kept, Run.models
+    monkeypatch.setattr(Run, "keep", lambda self, df, label: copies.append(label) or keep(self, df, label))
+    monkeypatch.setattr(
+        versioned.VersionedTable, "_kept", lambda self, *args: kept.append(self.path) or stay(self, *args))
+    monkeypatch.setattr(Run, "models", lambda self, **given: scopes.append(set(given)) or models(self, **given))
+    undated = ("o6", "c3", "created", *[None] * 5)
+    data = shop(
+        spark, orders=[*ROWS["orders"], undated],
+        order_items=[*ROWS["order_items"], ("o6", 1, "p3", "s2", None, "5.00", "1.00"), ("o9", 1, "p2", "s2", None, "9.00", "1.00")])
+    inc = IncrementalModels(spark, str(tmp_path / "inc"), data, "2018-01-01", buckets=1)
+    inc.process(typed(data["orders"]), 0)
+    assert not [c for c in copies if c.endswith("-change")]
+    inc.process(typed(shop(spark, orders=[ROWS["orders"][1], undated])["orders"]), 1)
+    assert not [path for path in kept if path.endswith("_months")]
+    assert not [s for s in scopes if {"stg_sellers", "int_orders_with_items"} <= s or {"mart_products", "int_order_products"} <= s]
+    assert spark.conf.get(incremental.HASHED[0]) == "0b"
+    assert_full_refresh(spark, inc, data)
